@@ -85,32 +85,35 @@ def stratified_split(
         .withColumns({"_upto": F.sum("_n").over(up_to), "_total": F.sum("_n").over(Window.partitionBy("_c"))})
         .withColumn("_before", F.col("_upto") - F.col("_n"))
     )
-    holds = [(F.col("_before") < quota(share)) & (quota(share) <= F.col("_upto")) for share in shares]
-    any_boundary = holds[0]
-    for one in holds[1:]:
-        any_boundary = any_boundary | one
-    crossed = pieces.where(any_boundary).select("_c", "_piece", "_before", "_total")
-
-    counts = narrow.join(crossed, ["_c", "_piece"]).groupBy("_c", "_piece", "_before", "_total", "_h").agg(
+    holds = {
+        f"_holds{i}": (F.col("_before") < quota(share)) & (quota(share) <= F.col("_upto"))
+        for i, share in enumerate(shares)
+    }
+    # At most one piece per boundary and class.
+    crossed = pieces.withColumns(holds).where(" OR ".join(holds)).drop("_n", "_upto")
+
+    flags = ["_c", "_piece", "_before", "_total", *holds]
+    counts = narrow.join(F.broadcast(crossed), ["_c", "_piece"]).groupBy(*flags, "_h").agg(
         F.count(F.lit(1)).alias("_n")
     )
     walk = Window.partitionBy("_c", "_piece").orderBy("_h").rowsBetween(Window.unboundedPreceding, 0)
     walked = counts.withColumn("_rank", F.col("_before") + F.sum("_n").over(walk))
-    # The last hash inside each boundary; null where the boundary is before the first row.
     limits = walked.groupBy("_c").agg(
         *[
-            F.max(F.when(F.col("_rank") <= quota(share), F.col("_h"))).alias(f"_inside{i}")
-            for i, share in enumerate(shares)
-        ],
-        *[
-            F.min(F.when(F.col("_rank") > quota(share), F.col("_h"))).alias(f"_outside{i}")
+            expression
             for i, share in enumerate(shares)
-        ],
+            for expression in (
+                F.max(F.when(F.col(f"_holds{i}") & (F.col("_rank") <= quota(share)), F.col("_h"))).alias(f"_inside{i}"),
+                F.min(F.when(F.col(f"_holds{i}") & (F.col("_rank") > quota(share)), F.col("_h"))).alias(f"_outside{i}"),
+            )
+        ]
     )
+    # One row per class.
     out = hashed.join(F.broadcast(limits), hashed[label].eqNullSafe(limits["_c"]), "left")
     part = F.lit(names[-1])
     for i in reversed(range(len(shares))):
-        part = F.when(F.col("_h") <= F.col(f"_inside{i}"), F.lit(names[i])).otherwise(part)
+        within = F.coalesce(F.col("_h") < F.col(f"_outside{i}"), F.col("_h") <= F.col(f"_inside{i}"))
+        part = F.when(within, F.lit(names[i])).otherwise(part)
     drop = ["_h", "_c", *[f"_{side}{i}" for i in range(len(shares)) for side in ("inside", "outside")]]
     return out.withColumn("part", part).drop(*drop)
 

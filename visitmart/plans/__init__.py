@@ -1,0 +1 @@
+"""Derived inputs, registered queries and their SQL twins."""
