@@ -31,14 +31,13 @@ INTERVENTIONS = [
 HIGH_RISK = 0.7
 
 
-def cut(col: Column, bands: Bands) -> Column:
-    """The label of the interval (low, high] holding ``col``; null outside all of them."""
-    low = F.lit(bands.edges[0])
-    above = col >= low if bands.include_lowest else col > low
-    label = F.when(~above, F.lit(None).cast("string"))
-    for edge, name in zip(bands.edges[1:], bands.labels):
-        label = label.when(col <= F.lit(edge), F.lit(name))
-    return label
+def cut(name: str, bands: Bands) -> Column:
+    """The label of the interval (low, high] holding column ``name``; null outside all of them."""
+    below = "<" if bands.include_lowest else "<="
+    branches = " ".join(
+        f"WHEN `{name}` <= {edge}D THEN '{label}'" for edge, label in zip(bands.edges[1:], bands.labels)
+    )
+    return F.expr(f"CASE WHEN `{name}` {below} {bands.edges[0]}D THEN NULL {branches} END")
 
 
 def band_table(spark: SparkSession, bands: Bands, name: str) -> DataFrame:
@@ -47,8 +46,6 @@ def band_table(spark: SparkSession, bands: Bands, name: str) -> DataFrame:
     return spark.createDataFrame(rows, f"band_order int, {name} string")
 
 
-def intervention_bucket(score: Column) -> Column:
-    bucket = F.when(F.lit(False), F.lit(""))
-    for floor, name in INTERVENTIONS:
-        bucket = bucket.when(score >= F.lit(floor), F.lit(name))
-    return bucket.otherwise(F.lit("Routine Monitoring"))
+def intervention_bucket(name: str) -> Column:
+    branches = " ".join(f"WHEN `{name}` >= {floor}D THEN '{label}'" for floor, label in INTERVENTIONS)
+    return F.expr(f"CASE {branches} ELSE 'Routine Monitoring' END")

@@ -1,4 +1,8 @@
-"""Numeric coercion, clipping, rounding and hashing, all as column expressions."""
+"""Numeric coercion, clipping, rounding and hashing, all as Spark SQL expressions.
+
+Where a rule is easier to read as SQL it is written as SQL text; a ``_sql``
+function returns such text, the others return columns.
+"""
 
 from __future__ import annotations
 
@@ -11,43 +15,52 @@ NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 WHOLE = r"^\s*[+-]?[0-9]+\s*$"
 
 
-def text_to_double(col: Column) -> Column:
-    return F.when(col.rlike(NUMBER), F.trim(col).try_cast("double"))
+def _long_of_double_sql(x: str) -> str:
+    return f"CASE WHEN {x} = floor({x}) AND abs({x}) < 9.2e18D THEN try_cast({x} AS BIGINT) END"
 
 
-def text_to_long(col: Column) -> Column:
-    """Whole numbers only; ``45.0`` counts, ``45.7`` does not. Long ids keep all their digits."""
-    number = text_to_double(col)
-    whole = F.when((number == F.floor(number)) & (F.abs(number) < 9.2e18), number.try_cast("long"))
-    return F.coalesce(F.when(col.rlike(WHOLE), F.trim(col).try_cast("long")), whole)
+def text_to_double_sql(c: str) -> str:
+    return f"CASE WHEN {c} RLIKE r'{NUMBER}' THEN try_cast({c} AS DOUBLE) END"
 
 
-def double_to_long(col: Column) -> Column:
-    return F.when((col == F.floor(col)) & (F.abs(col) < 9.2e18), col.try_cast("long"))
+def text_to_long_sql(c: str) -> str:
+    """Whole numbers only; ``45.0`` counts, ``45.7`` does not. Long ids keep all their digits."""
+    return (
+        f"CASE WHEN {c} RLIKE r'{WHOLE}' THEN try_cast({c} AS BIGINT) "
+        f"WHEN {c} RLIKE r'{NUMBER}' THEN {_long_of_double_sql(f'try_cast({c} AS DOUBLE)')} END"
+    )
 
 
-def to_float(df: DataFrame, name: str) -> Column:
+def float_sql(df: DataFrame, name: str) -> str:
     """Column ``name`` as double; a missing column counts as all missing, NaN as missing."""
     if name not in df.columns:
-        return F.lit(None).cast("double")
-    kind, col = df.schema[name].dataType, F.col(name)
+        return "CAST(NULL AS DOUBLE)"
+    kind, quoted = df.schema[name].dataType, f"`{name}`"
     if isinstance(kind, (DoubleType, FloatType)):
-        return F.when(~F.isnan(col), col.cast("double"))
+        return f"CASE WHEN NOT isnan({quoted}) THEN CAST({quoted} AS DOUBLE) END"
     if isinstance(kind, IntegralType):
-        return col.cast("double")
-    return text_to_double(col.cast("string"))
+        return f"CAST({quoted} AS DOUBLE)"
+    return text_to_double_sql(f"CAST({quoted} AS STRING)")
 
 
-def to_int(df: DataFrame, name: str) -> Column:
+def int_sql(df: DataFrame, name: str) -> str:
     """Column ``name`` as long; a missing column counts as all missing."""
     if name not in df.columns:
-        return F.lit(None).cast("long")
-    kind, col = df.schema[name].dataType, F.col(name)
+        return "CAST(NULL AS BIGINT)"
+    kind, quoted = df.schema[name].dataType, f"`{name}`"
     if isinstance(kind, IntegralType):
-        return col.cast("long")
+        return f"CAST({quoted} AS BIGINT)"
     if isinstance(kind, (DoubleType, FloatType)):
-        return double_to_long(col.cast("double"))
-    return text_to_long(col.cast("string"))
+        return _long_of_double_sql(f"CAST({quoted} AS DOUBLE)")
+    return text_to_long_sql(f"CAST({quoted} AS STRING)")
+
+
+def to_float(df: DataFrame, name: str) -> Column:
+    return F.expr(float_sql(df, name))
+
+
+def to_int(df: DataFrame, name: str) -> Column:
+    return F.expr(int_sql(df, name))
 
 
 def clip(col: Column, low=None, high=None) -> Column:
@@ -60,44 +73,59 @@ def clip(col: Column, low=None, high=None) -> Column:
     return F.when(col.isNotNull(), bounded)
 
 
-def round_even(col: Column, digits: int = 0) -> Column:
+def round_even_sql(x: str, digits: int = 0) -> str:
     """Half-even rounding of the binary value, which is what numeric Python arrays do."""
+    return f"rint({x})" if digits == 0 else f"rint(({x}) * 1e{digits}D) / 1e{digits}D"
+
+
+def round_even(col: Column, digits: int = 0) -> Column:
     if digits == 0:
         return F.rint(col)
-    scale = float(10**digits)
-    return F.rint(col * F.lit(scale)) / F.lit(scale)
+    scale = F.lit(float(10**digits))
+    return F.rint(col * scale) / scale
 
 
-def percent(part: Column, whole: Column, digits: int | None = 2) -> Column:
+def percent_sql(part: str, whole: str, digits: int | None = 2) -> str:
     """``part / whole * 100``; null where ``whole`` is zero."""
-    value = part.cast("double") / F.nullif(whole.cast("double"), F.lit(0.0)) * F.lit(100.0)
-    return value if digits is None else round_even(value, digits)
+    value = f"CAST({part} AS DOUBLE) / nullif(CAST({whole} AS DOUBLE), 0D) * 100D"
+    return value if digits is None else round_even_sql(value, digits)
+
 
+def percent(part: str, whole: str, digits: int | None = 2) -> Column:
+    return F.expr(percent_sql(part, whole, digits))
 
-def ratio(part: Column, whole: Column) -> Column:
+
+def ratio_sql(part: str, whole: str) -> str:
     """``part / whole``, zero where ``whole`` is zero."""
-    return F.coalesce(part.cast("double") / F.nullif(whole.cast("double"), F.lit(0.0)), F.lit(0.0))
+    return f"coalesce(CAST({part} AS DOUBLE) / nullif(CAST({whole} AS DOUBLE), 0D), 0D)"
+
+
+def ratio(part: str, whole: str) -> Column:
+    return F.expr(ratio_sql(part, whole))
 
 
-def unit_interval(key: Column, salt: str) -> Column:
+def unit_interval_sql(key: str, salt: str) -> str:
     """A repeatable number in [0, 1] from the first 8 hex digits of sha256(``key|salt``)."""
-    digest = F.sha2(F.concat(F.coalesce(key, F.lit("")), F.lit(f"|{salt}")), 256)
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967295.0)
+    digest = f"sha2(concat(coalesce({key}, ''), '|{salt}'), 256)"
+    return f"CAST(conv(substring({digest}, 1, 8), 16, 10) AS DOUBLE) / 4294967295D"
+
+
+def unit_interval(key: str, salt: str) -> Column:
+    return F.expr(unit_interval_sql(key, salt))
 
 
-def record_hash(df: DataFrame, fields: list[str]) -> Column:
-    """sha256 of the fields joined by ``|``. Ids are hashed after their coercion to long.
+def record_hash(df: DataFrame, fields: list[str], whole: set[str]) -> Column:
+    """sha256 of the fields joined by ``|``; those in ``whole`` are coerced to long first.
 
     Missing numbers, missing texts and absent columns each have their own token.
     """
-    parts: list[Column] = []
+    parts: list[str] = []
     for name in fields:
-        if parts:
-            parts.append(F.lit("|"))
         if name not in df.columns:
-            parts.append(F.lit(""))
-        elif isinstance(df.schema[name].dataType, IntegralType):
-            parts.append(F.coalesce(F.col(name).cast("string"), F.lit("<NA>")))
+            parts.append("''")
+        elif name in whole:
+            parts.append(f"coalesce(CAST({int_sql(df, name)} AS STRING), '<NA>')")
         else:
-            parts.append(F.coalesce(F.col(name).cast("string"), F.lit("None")))
-    return F.sha2(F.concat(*parts), 256)
+            parts.append(f"coalesce(CAST(`{name}` AS STRING), 'None')")
+    joined = ", '|', ".join(parts)
+    return F.expr(f"sha2(concat({joined}), 256)")

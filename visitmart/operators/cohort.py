@@ -25,7 +25,12 @@ def _as_time(df: DataFrame, name: str, day_first: bool) -> Column:
     kind = df.schema[name].dataType.typeName()
     if kind.startswith("timestamp") or kind == "date":
         return F.col(name).cast(_NO_TIME)
-    return parse_day_first(F.col(name)) if day_first else utc_wall_time(F.col(name))
+    return parse_day_first(name) if day_first else utc_wall_time(name)
+
+
+def _add_month(df: DataFrame, day: Column) -> DataFrame:
+    out = df.withColumn("admit_day", day)
+    return out.withColumn("admit_month", F.date_trunc("month", "admit_day").cast(_NO_TIME))
 
 
 def with_admit_month(df: DataFrame) -> DataFrame:
@@ -45,12 +50,15 @@ def with_admit_month(df: DataFrame) -> DataFrame:
     day = F.when(F.lit(False), days[0])
     for position, candidate in enumerate(days[1:], start=1):
         day = day.when(chosen == position, candidate)
-    out = df.withColumn("admit_day", day.otherwise(days[0]))
-    return out.withColumn("admit_month", F.date_trunc("month", "admit_day").cast(_NO_TIME))
+    return _add_month(df, day.otherwise(days[0]))
 
 
-def prepare(df: DataFrame) -> DataFrame:
-    """Add month, age band, live risk score and intervention to the final dataset."""
+def prepare(df: DataFrame, has_admit_day: bool = False) -> DataFrame:
+    """Add month, age band, live risk score and intervention to the final dataset.
+
+    ``has_admit_day`` says that admission days are known to be there, which saves the
+    pass that looks for them.
+    """
     typed = {name: to_float(df, name) for name in ("age",) if name in df.columns}
     typed.update(
         {
@@ -59,11 +67,12 @@ def prepare(df: DataFrame) -> DataFrame:
             if name in df.columns
         }
     )
-    out = with_admit_month(df.withColumns(typed))
+    out = df.withColumns(typed)
+    out = _add_month(out, _as_time(out, "admit_day", True)) if has_admit_day else with_admit_month(out)
     out = out.withColumns(
-        {"age_band": cut(F.col("age"), AGE_BANDS), "risk_score_live": risk_score_live(out)}
+        {"age_band": cut("age", AGE_BANDS), "risk_score_live": risk_score_live(out)}
     )
-    return out.withColumn("suggested_intervention_bucket", intervention_bucket(F.col("risk_score_live")))
+    return out.withColumn("suggested_intervention_bucket", intervention_bucket("risk_score_live"))
 
 
 # ---------------------------------------------------------------- filters
@@ -147,18 +156,16 @@ def domain_profile(df: DataFrame, categories: list[str], ids: list[str], default
 
 def executive_kpis(df: DataFrame, median_los: DataFrame) -> DataFrame:
     """One row with the fifteen headline numbers. ``median_los`` is a one-row, one-column frame."""
-    total = F.count(F.lit(1))
-    high = F.sum((F.col("risk_score_live") >= HIGH_RISK_LIVE).cast("long"))
-    any_back, early = F.sum("readmitted"), F.sum(S.TARGET)
+    high = f"count_if(risk_score_live >= {HIGH_RISK_LIVE}D)"
     out = df.agg(
-        total.alias("total_admissions"),
-        any_back.alias("total_readmissions"),
-        early.alias("readmissions_30d"),
-        percent(early, total, None).alias("readmission_30d_rate_pct"),
+        F.count(F.lit(1)).alias("total_admissions"),
+        F.sum("readmitted").alias("total_readmissions"),
+        F.sum(S.TARGET).alias("readmissions_30d"),
+        percent(f"sum({S.TARGET})", "count(1)", None).alias("readmission_30d_rate_pct"),
         F.avg(F.when(F.col("readmitted") == 1, F.col("days_until_readmission"))).alias("avg_days_to_readmission"),
-        high.alias("high_risk_patients"),
-        percent(any_back, total, None).alias("readmission_any_rate_pct"),
-        percent(high, total, None).alias("high_risk_rate_pct"),
+        F.expr(high).alias("high_risk_patients"),
+        percent("sum(readmitted)", "count(1)", None).alias("readmission_any_rate_pct"),
+        percent(high, "count(1)", None).alias("high_risk_rate_pct"),
         F.avg("los").alias("avg_los"),
         F.avg("LACE_Score").alias("avg_lace_score"),
         F.avg("chronic_conditions").alias("avg_chronic_conditions"),
@@ -175,7 +182,7 @@ def monthly_trend(df: DataFrame) -> DataFrame:
         F.sum("readmitted").alias("readmissions_any"),
         F.sum(S.TARGET).alias("readmissions_30d"),
     )
-    rate = percent(F.col("readmissions_30d"), F.col("admissions"), None)
+    rate = percent("readmissions_30d", "admissions", None)
     return out.withColumn("readmission_30d_rate_pct", rate)
 
 

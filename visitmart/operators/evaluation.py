@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from visitmart import schema as S
 from visitmart.functions.numbers import ratio, to_float
 from visitmart.operators.ordered import running_totals
+from visitmart.session import cut
 
 # Hex digits of the order hash that name a piece: 16 ** 4 pieces per class.
 _PIECE_DIGITS = 4
@@ -70,8 +71,9 @@ def stratified_split(
     names = list(parts)
     shares = [sum(list(parts.values())[: i + 1]) for i in range(len(names) - 1)]
     hashed = df.withColumn("_h", F.sha2(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}")), 256))
-    narrow = hashed.select(F.col(label).alias("_c"), "_h").withColumn(
-        "_piece", F.substring("_h", 1, _PIECE_DIGITS)
+    # Read twice below, so evaluated once.
+    narrow = cut(
+        hashed.select(F.col(label).alias("_c"), "_h", F.substring("_h", 1, _PIECE_DIGITS).alias("_piece"))
     )
 
     def quota(share: int) -> Column:
@@ -138,8 +140,8 @@ def score_curve(df: DataFrame, score: str = "score", label: str = "label") -> Da
 
 def pr_curve(curve: DataFrame) -> DataFrame:
     """Precision, recall and F1 at every distinct score."""
-    precision = ratio(F.col("tp"), F.col("tp") + F.col("fp"))
-    recall = ratio(F.col("tp"), F.col("positives"))
+    precision = ratio("tp", "tp + fp")
+    recall = ratio("tp", "positives")
     f1 = F.lit(2.0) * precision * recall / F.greatest(precision + recall, F.lit(1e-12))
     return curve.select("threshold", precision.alias("precision"), recall.alias("recall"), f1.alias("f1"))
 
@@ -148,8 +150,8 @@ def roc_curve(curve: DataFrame) -> DataFrame:
     """False and true positive rate at every distinct score."""
     return curve.select(
         "threshold",
-        ratio(F.col("fp"), F.col("negatives")).alias("fpr"),
-        ratio(F.col("tp"), F.col("positives")).alias("tpr"),
+        ratio("fp", "negatives").alias("fpr"),
+        ratio("tp", "positives").alias("tpr"),
     )
 
 
@@ -196,19 +198,18 @@ def classification_metrics(
 
 
 def with_ratios(counts: DataFrame) -> DataFrame:
-    tn, fp, fn, tp = (F.col(name) for name in ("tn", "fp", "fn", "tp"))
     out = counts.withColumns(
         {
-            "accuracy": ratio(tp + tn, tn + fp + fn + tp),
-            "precision": ratio(tp, tp + fp),
-            "recall": ratio(tp, tp + fn),
+            "accuracy": ratio("tp + tn", "tn + fp + fn + tp"),
+            "precision": ratio("tp", "tp + fp"),
+            "recall": ratio("tp", "tp + fn"),
         }
     )
     return out.withColumn("f1", _f1())
 
 
 def _f1() -> Column:
-    return ratio(F.lit(2.0) * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall"))
+    return ratio("2D * precision * recall", "precision + recall")
 
 
 def threshold_sweep(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
@@ -227,8 +228,8 @@ def threshold_sweep(df: DataFrame, score: str = "score", label: str = "label") -
     out = counts.select("positives", F.inline(F.array(*rows)))
     out = out.withColumns(
         {
-            "precision": ratio(F.col("tp"), F.col("tp") + F.col("fp")),
-            "recall": ratio(F.col("tp"), F.col("positives")),
+            "precision": ratio("tp", "tp + fp"),
+            "recall": ratio("tp", "positives"),
         }
     )
     return out.select("threshold", "precision", "recall", _f1().alias("f1"))

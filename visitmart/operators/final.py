@@ -45,8 +45,8 @@ def reason_summary(model: DataFrame) -> DataFrame:
     )
     out = out.withColumns(
         {
-            "readmission_rate_pct": percent(F.col("total_readmissions"), F.col("total_admissions")),
-            "readmission_30d_rate_pct": percent(F.col("readmissions_under_30_days"), F.col("total_admissions")),
+            "readmission_rate_pct": percent("total_readmissions", "total_admissions"),
+            "readmission_30d_rate_pct": percent("readmissions_under_30_days", "total_admissions"),
         }
     )
     return sort_desc(out, "readmissions_under_30_days", "Condition")
@@ -68,7 +68,7 @@ def with_all_bands(aggregated: DataFrame, bands: Bands, name: str) -> DataFrame:
 
 def driver_summary(model: DataFrame) -> DataFrame:
     """Patients and early readmissions per LACE band. Scores outside every band are left out."""
-    banded = model.withColumn("lace_band", cut(F.col("LACE_Score"), LACE_BANDS)).where("lace_band IS NOT NULL")
+    banded = model.withColumn("lace_band", cut("LACE_Score", LACE_BANDS)).where("lace_band IS NOT NULL")
     totals = banded.groupBy("lace_band").agg(
         F.count("patientunitstayid").alias("patients"),
         F.sum(S.TARGET).cast("long").alias("readmission_30d_count"),
@@ -81,5 +81,5 @@ def driver_summary(model: DataFrame) -> DataFrame:
             "readmission_30d_count": F.coalesce("readmission_30d_count", F.lit(0)),
         }
     )
-    rate = percent(F.col("readmission_30d_count"), F.col("patients"))
+    rate = percent("readmission_30d_count", "patients")
     return out.withColumn("readmission_30d_rate_pct", rate).orderBy("band_order").drop("band_order")

@@ -44,9 +44,9 @@ def doctor_mart(silver: DataFrame, as_of: str | None = None) -> DataFrame:
     return pick(
         scored.withColumns(
             {
-                "risk_band": cut(F.col("risk_score"), RISK_BANDS),
+                "risk_band": cut("risk_score", RISK_BANDS),
                 "is_high_risk": F.col("risk_score") >= F.lit(HIGH_RISK),
-                "as_of_date": utc_date(F.col("processed_at_utc")) if known else F.lit(as_of),
+                "as_of_date": utc_date("processed_at_utc") if known else F.lit(as_of),
             }
         ),
         S.DOCTOR_MART_COLUMNS,
@@ -72,7 +72,7 @@ _RATES = {
 
 
 def _with_rates(df: DataFrame) -> DataFrame:
-    return df.withColumns({rate: percent(F.col(n), F.col("total_visits")) for rate, n in _RATES.items()})
+    return df.withColumns({rate: percent(n, "total_visits") for rate, n in _RATES.items()})
 
 
 def hospital_kpi(doctor: DataFrame) -> DataFrame:

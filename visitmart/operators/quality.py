@@ -47,7 +47,7 @@ def quality_report(df: DataFrame, required: list[str] = S.QUALITY_COLUMNS) -> Da
     )
     pairs = [part for name in required for part in (F.lit(name), F.col(f"null_{name}"))]
     rates = {
-        f"{stem}_rate_pct": F.coalesce(percent(F.col(f"{stem}_count"), F.col("total_rows")), F.lit(0.0))
+        f"{stem}_rate_pct": F.coalesce(percent(f"{stem}_count", "total_rows"), F.lit(0.0))
         for stem in ("readmitted", "readmitted_under_30_days")
     }
     return out.withColumns({"required_column_null_counts": F.create_map(*pairs), **rates}).drop(*null_names)
@@ -77,7 +77,7 @@ def duplicate_count(df: DataFrame, key: tuple[str, ...] = ("patientunitstayid",
         F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_rows"),
         F.coalesce(F.sum("_n"), F.lit(0)).alias("total_rows"),
     )
-    share = F.coalesce(percent(F.col("duplicate_rows"), F.col("total_rows"), None), F.lit(0.0))
+    share = F.coalesce(percent("duplicate_rows", "total_rows", None), F.lit(0.0))
     return out.withColumn("duplicate_pct", share)
 
 

@@ -2,201 +2,165 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitmart import schema as S
 from visitmart.functions import text as X
-from visitmart.functions.numbers import clip, record_hash, round_even, to_float, to_int, unit_interval
+from visitmart.functions.numbers import record_hash, round_even_sql, to_float, to_int, unit_interval
 from visitmart.operators.shape import dedup_last, pick
 
+
+def with_record_hash(df: DataFrame) -> DataFrame:
+    """Add the record hash; ids count after their coercion to whole numbers."""
+    return df.withColumn("record_hash", record_hash(df, S.HASH_FIELDS, set(S.INT_COLUMNS)))
+
+
 def clean(df: DataFrame, processed_at: str) -> DataFrame:
     """Type and normalise every known column and add the record hash. Fills nothing in."""
     missing = [name for name in S.REQUIRED_SOURCE if name not in df.columns]
     if missing:
         raise ValueError(f"required columns are missing: {missing}")
+    if "record_hash" not in df.columns:
+        df = with_record_hash(df)
     present = set(df.columns)
 
-    typed: dict[str, Column] = {
-        "gender_normalized": X.normalize_gender(F.col("gender")),
-        "age_years": clip(to_int(df, "age"), 0, 115),
-        "hospital_discharge_status_normalized": X.normalize_text(F.col("hospitaldischargestatus")),
-        "unit_discharge_status_normalized": X.normalize_text(F.col("unitdischargestatus")),
+    typed = {
+        "gender_normalized": X.normalize_gender("gender"),
+        "age_years": to_int(df, "age"),
+        "hospital_discharge_status_normalized": X.normalize_text("hospitaldischargestatus"),
+        "unit_discharge_status_normalized": X.normalize_text("unitdischargestatus"),
+        "processed_at_utc": F.lit(processed_at),
     }
     typed.update({name: to_int(df, name) for name in S.INT_COLUMNS if name in present})
     typed.update({name: to_float(df, name) for name in S.FLOAT_COLUMNS if name in present})
-    typed.update({name: X.sanitize_time(F.col(name)) for name in S.TIME_COLUMNS if name in present})
-    typed.update({name: X.parse_day_first(F.col(name)) for name in S.DATE_COLUMNS if name in present})
+    typed.update({name: X.sanitize_time(name) for name in S.TIME_COLUMNS if name in present})
+    typed.update({name: X.parse_day_first(name) for name in S.DATE_COLUMNS if name in present})
     if "_airbyte_emitted_at" in present:
-        typed["silver_processed_date"] = X.utc_date(F.col("_airbyte_emitted_at"))
+        typed["silver_processed_date"] = X.utc_date("_airbyte_emitted_at")
     else:
         typed["silver_processed_date"] = F.lit(processed_at[:10])
 
-    out = df.withColumns(typed)
-    return out.withColumns(
+    # A second stage, so that the parsed numbers are named and not parsed again.
+    return df.withColumns(typed).withColumns(
         {
-            "is_expired": F.col("hospital_discharge_status_normalized") == "expired",
-            "estimated_unit_los_hours": F.coalesce(F.col("unitdischargeoffset"), F.lit(0)) / F.lit(60.0),
-            "processed_at_utc": F.lit(processed_at),
-            "record_hash": record_hash(out, S.HASH_FIELDS),
+            "age_years": F.expr("CASE WHEN age_years IS NOT NULL THEN greatest(0, least(115, age_years)) END"),
+            "is_expired": F.expr("hospital_discharge_status_normalized = 'expired'"),
+            "estimated_unit_los_hours": F.expr("coalesce(unitdischargeoffset, 0) / 60D"),
         }
     )
 
 
-# Share of visits given each condition flag when the source has none.
-FLAG_SHARES = {
-    "diabetes": ("_u1", 0.23),
-    "obesity": ("_u2", 0.28),
-    "anxiety": ("_u3", 0.20),
-    "depression": ("_u4", 0.18),
-    "dementia": ("_u1", 0.22),
-    "drugabuse": ("_u2", 0.12),
-    "mooddisorder": ("_u3", 0.15),
-    "tobacco_user": ("_u4", 0.27),
-}
-DEMENTIA_AGE = 70
-SENIOR_AGE = 65
-
-# Base, spread, number in [0, 1], digits.
-VITALS = {
-    "bp_systolic": (108.0, 42.0, "_u1", 0),
-    "bp_diastolic": (62.0, 28.0, "_u2", 0),
-    "pulse": (58.0, 52.0, "_u3", 0),
-    "respirations": (12.0, 14.0, "_u4", 0),
-    "temperature": (36.1, 2.1, "_u1", 1),
+# The rule that gives each condition flag when the source has none.
+FLAG_RULES = {
+    "diabetes": "_u1 < 0.23D",
+    "obesity": "_u2 < 0.28D",
+    "anxiety": "_u3 < 0.20D",
+    "depression": "_u4 < 0.18D",
+    "dementia": "_age >= 70 AND _u1 < 0.22D",
+    "drugabuse": "_u2 < 0.12D",
+    "mooddisorder": "_u3 < 0.15D",
+    "tobacco_user": "_u4 < 0.27D",
 }
 
-# Base, weight of the chronic-condition count, spread, number in [0, 1], digits.
-LABS = {
-    "glucose": (90.0, 6.0, 35.0, "_u1", 1),
-    "creatinine": (0.7, 0.08, 0.7, "_u2", 2),
-    "wbc": (4.2, None, 9.8, "_u3", 2),
-    "hemoglobin": (10.5, None, 5.5, "_u4", 2),
-    "potassium": (3.4, None, 1.8, "_u1", 2),
-    "sodium": (133.0, None, 12.0, "_u2", 1),
-    "calcium": (8.2, None, 2.1, "_u3", 2),
-    "care_plan_costs": (180.0, 95.0, 220.0, "_u3", 2),
+# Level of each vital sign, and the digits it is rounded to.
+VITAL_RULES = {
+    "bp_systolic": ("108D + _u1 * 42D", 0),
+    "bp_diastolic": ("62D + _u2 * 28D", 0),
+    "pulse": ("58D + _u3 * 52D", 0),
+    "respirations": ("12D + _u4 * 14D", 0),
+    "temperature": ("36.1D + _u1 * 2.1D", 1),
 }
 
+# Level of each lab value and cost, and the digits it is rounded to.
+LAB_AND_COST_RULES = {
+    "glucose": ("90D + CAST(chronic_conditions AS DOUBLE) * 6D + _u1 * 35D", 1),
+    "creatinine": ("0.7D + CAST(chronic_conditions AS DOUBLE) * 0.08D + _u2 * 0.7D", 2),
+    "wbc": ("4.2D + _u3 * 9.8D", 2),
+    "hemoglobin": ("10.5D + _u4 * 5.5D", 2),
+    "potassium": ("3.4D + _u1 * 1.8D", 2),
+    "sodium": ("133D + _u2 * 12D", 1),
+    "calcium": ("8.2D + _u3 * 2.1D", 2),
+    "cost_of_initial_stay": (
+        "3500D + los * 1200D + CAST(chronic_conditions AS DOUBLE) * 420D + _u4 * 900D",
+        2,
+    ),
+    "care_plan_costs": ("180D + CAST(chronic_conditions AS DOUBLE) * 95D + _u3 * 220D", 2),
+}
 
-def _keep_or(df: DataFrame, name: str, value: Column) -> Column:
-    """The text already there, else ``value``."""
-    return F.coalesce(F.col(name).cast("string"), value) if name in df.columns else value
-
-
-def _float_or(df: DataFrame, name: str, value: Column) -> Column:
-    return F.coalesce(to_float(df, name), value)
-
-
-def _int_or(df: DataFrame, name: str, value: Column) -> Column:
-    return F.coalesce(to_int(df, name), value.cast("long"))
-
-
-def _text(df: DataFrame, name: str) -> Column:
-    return F.coalesce(F.col(name).cast("string"), F.lit("")) if name in df.columns else F.lit("")
-
+INSURANCE = """CASE WHEN _u1 < 0.03D THEN 'Self-pay' WHEN _age < 30 AND _u1 < 0.4D THEN 'Medicaid'
+    WHEN _age >= 65 THEN 'Medicare' ELSE 'Commercial' END"""
 
-def insurance(age: Column, u1: Column) -> Column:
-    return (
-        F.when(u1 < 0.03, F.lit("Self-pay"))
-        .when((age < 30) & (u1 < 0.4), F.lit("Medicaid"))
-        .when(age >= SENIOR_AGE, F.lit("Medicare"))
-        .otherwise(F.lit("Commercial"))
-    )
+CARE_PLAN = """CASE WHEN _u2 < 0.15D THEN 'Home health + chronic disease management'
+    WHEN _u2 < 0.35D THEN 'Medication reconciliation and PCP follow-up' ELSE 'Standard follow-up in 7 days' END"""
 
+STAY = """CASE WHEN {offset} IS NOT NULL
+    THEN rint(greatest(0.5D, least(21D, {offset} / 1440D)) * 100D) / 100D
+    ELSE rint((1.5D + _u1 * 5.5D) * 100D) / 100D END"""
 
-def care_plan(u2: Column) -> Column:
-    return (
-        F.when(u2 < 0.15, F.lit("Home health + chronic disease management"))
-        .when(u2 < 0.35, F.lit("Medication reconciliation and PCP follow-up"))
-        .otherwise(F.lit("Standard follow-up in 7 days"))
-    )
+LACE = """greatest(0D, least(19D, rint(greatest(0D, least(14D, los)) * 0.7D + CAST(ed_visits AS DOUBLE) * 1.2D
+    + CAST(chronic_conditions AS DOUBLE) * 1.4D + CAST(_senior AS DOUBLE) * 2D + _u3 * 2D)))"""
 
+RETURN_CHANCE = "least(0.65D, 0.08D + LACE_Score / 40D + CAST(chronic_conditions AS DOUBLE) / 25D)"
 
-def body_mass_index(weight: Column, height_cm: Column) -> Column:
-    metres = F.nullif(height_cm, F.lit(0.0)) / F.lit(100.0)
-    return weight / (metres * metres)
+BMI = "rint({weight} / ((nullif({height}, 0D) / 100D) * (nullif({height}, 0D) / 100D)) * 10D) / 10D"
 
 
 def enrich(df: DataFrame) -> DataFrame:
-    """Fill missing model features from repeatable numbers drawn from the record hash.
+    """Fill missing model features of cleaned rows from repeatable numbers drawn from the record hash.
 
     Each ``withColumns`` is one stage of dependence: the numbers; what follows
     from them; what needs stay and conditions; the outcome; its delay; its flag.
     """
+    present = set(df.columns)
+
+    def kept(name: str, rule: str, kind: str) -> str:
+        """The value already there, else what the rule gives."""
+        filled = f"CAST({rule} AS {kind})"
+        return f"coalesce(`{name}`, {filled})" if name in present else filled
+
+    def source(name: str, kind: str) -> str:
+        return f"`{name}`" if name in present else f"CAST(NULL AS {kind})"
+
+    draws = {f"_u{i}": unit_interval("record_hash", f"u{i}") for i in (1, 2, 3, 4)}
+    age = f"coalesce({source('age_years', 'BIGINT')}, 0)"
     numbers = df.withColumns(
-        {
-            "_u1": unit_interval(F.col("record_hash"), "u1"),
-            "_u2": unit_interval(F.col("record_hash"), "u2"),
-            "_u3": unit_interval(F.col("record_hash"), "u3"),
-            "_u4": unit_interval(F.col("record_hash"), "u4"),
-            "_age": F.coalesce(to_float(df, "age_years"), F.lit(0.0)),
-        }
+        {**draws, "_age": F.expr(age), "_senior": F.expr(f"CAST({age} >= 65 AS BIGINT)")}
     )
-    u1, u2, u3, u4, age = (F.col(name) for name in ("_u1", "_u2", "_u3", "_u4", "_age"))
-    senior = (age >= SENIOR_AGE).cast("long")
-
-    stay_from_offset = round_even(clip(to_float(df, "hospitaldischargeoffset") / F.lit(1440.0), 0.5, 21.0), 2)
-    stay_from_draw = round_even(F.lit(1.5) + u1 * F.lit(5.5), 2)
-    diagnosis = F.coalesce(F.nullif(F.trim(_text(df, "apacheadmissiondx")), F.lit("")), F.lit("General Medical"))
-    weight, height = to_float(df, "admissionweight"), to_float(df, "admissionheight")
-
-    first: dict[str, Column] = {
-        "ethnic_group_c": _keep_or(df, "ethnic_group_c", X.ethnic_group(_text(df, "ethnicity"))),
-        "insurance_provider": _keep_or(df, "insurance_provider", insurance(age, u1)),
-        "Condition": _keep_or(df, "Condition", diagnosis),
-        "care_plan_following_discharge": _keep_or(df, "care_plan_following_discharge", care_plan(u2)),
-        "los": _float_or(df, "los", F.coalesce(stay_from_offset, stay_from_draw)),
-        "chronic_conditions": _int_or(
-            df, "chronic_conditions", clip(F.rint(u2 * F.lit(5.0)).cast("long") + senior, 0, 8)
-        ),
-        "ed_visits": _int_or(df, "ed_visits", F.rint(u1 * F.lit(4.0))),
-        "ip_visits": _int_or(df, "ip_visits", F.rint(u2 * F.lit(3.0))),
-        "bmi": F.coalesce(
-            to_float(df, "bmi"),
-            round_even(body_mass_index(weight, height), 1),
-            round_even(F.lit(20.0) + u2 * F.lit(15.0), 1),
+
+    ethnicity = f"lower(coalesce({source('ethnicity', 'STRING')}, ''))"
+    diagnosis = f"nullif(trim(coalesce({source('apacheadmissiondx', 'STRING')}, '')), '')"
+    bmi = BMI.format(weight=source("admissionweight", "DOUBLE"), height=source("admissionheight", "DOUBLE"))
+    first = {
+        "ethnic_group_c": kept("ethnic_group_c", X.ethnic_group_sql(ethnicity), "STRING"),
+        "insurance_provider": kept("insurance_provider", INSURANCE, "STRING"),
+        "Condition": kept("Condition", f"coalesce({diagnosis}, 'General Medical')", "STRING"),
+        "care_plan_following_discharge": kept("care_plan_following_discharge", CARE_PLAN, "STRING"),
+        "los": kept("los", STAY.format(offset=source("hospitaldischargeoffset", "BIGINT")), "DOUBLE"),
+        "chronic_conditions": kept(
+            "chronic_conditions", "greatest(0, least(8, CAST(rint(_u2 * 5D) AS BIGINT) + _senior))", "BIGINT"
         ),
+        "ed_visits": kept("ed_visits", "rint(_u1 * 4D)", "BIGINT"),
+        "ip_visits": kept("ip_visits", "rint(_u2 * 3D)", "BIGINT"),
+        "bmi": kept("bmi", f"coalesce({bmi}, rint((20D + _u2 * 15D) * 10D) / 10D)", "DOUBLE"),
     }
-    for flag, (draw, share) in FLAG_SHARES.items():
-        chosen = F.col(draw) < F.lit(share)
-        if flag == "dementia":
-            chosen = (age >= DEMENTIA_AGE) & chosen
-        first[flag] = _int_or(df, flag, chosen.cast("long"))
-    for vital, (base, width, draw, digits) in VITALS.items():
-        first[vital] = _float_or(df, vital, round_even(F.lit(base) + F.col(draw) * F.lit(width), digits))
-    staged = numbers.withColumns(first)
-
-    los, chronic = F.col("los"), F.col("chronic_conditions").cast("double")
-    lace = (
-        clip(los, 0.0, 14.0) * F.lit(0.7)
-        + F.col("ed_visits").cast("double") * F.lit(1.2)
-        + chronic * F.lit(1.4)
-        + senior.cast("double") * F.lit(2.0)
-        + u3 * F.lit(2.0)
+    first.update({name: kept(name, rule, "BIGINT") for name, rule in FLAG_RULES.items()})
+    first.update(
+        {name: kept(name, round_even_sql(rule, digits), "DOUBLE") for name, (rule, digits) in VITAL_RULES.items()}
     )
-    stay_cost = F.lit(3500.0) + los * F.lit(1200.0) + chronic * F.lit(420.0) + u4 * F.lit(900.0)
-    second: dict[str, Column] = {
-        "LACE_Score": _float_or(df, "LACE_Score", clip(F.rint(lace), 0.0, 19.0)),
-        "cost_of_initial_stay": _float_or(df, "cost_of_initial_stay", round_even(stay_cost, 2)),
-    }
-    for lab, (base, per_condition, width, draw, digits) in LABS.items():
-        level = F.lit(base)
-        if per_condition is not None:
-            level = level + chronic * F.lit(per_condition)
-        second[lab] = _float_or(df, lab, round_even(level + F.col(draw) * F.lit(width), digits))
-    staged = staged.withColumns(second)
-
-    chance = clip(F.lit(0.08) + F.col("LACE_Score") / F.lit(40.0) + chronic / F.lit(25.0), high=0.65)
-    staged = staged.withColumn("readmitted", _int_or(df, "readmitted", (u4 < chance).cast("long")))
-
-    returned = F.col("readmitted") == 1
-    delay = F.when(returned, F.lit(1.0) + F.rint(u1 * F.lit(59.0))).otherwise(F.lit(0.0))
-    staged = staged.withColumn("days_until_readmission", _float_or(df, "days_until_readmission", delay))
+    second = {"LACE_Score": kept("LACE_Score", LACE, "DOUBLE")}
+    second.update(
+        {name: kept(name, round_even_sql(rule, n), "DOUBLE") for name, (rule, n) in LAB_AND_COST_RULES.items()}
+    )
+    third = {"readmitted": kept("readmitted", f"_u4 < {RETURN_CHANCE}", "BIGINT")}
+    delay = "CASE WHEN readmitted = 1 THEN 1D + rint(_u1 * 59D) ELSE 0D END"
+    fourth = {"days_until_readmission": kept("days_until_readmission", delay, "DOUBLE")}
+    fifth = {S.TARGET: kept(S.TARGET, "readmitted = 1 AND days_until_readmission <= 30", "BIGINT")}
 
-    early = (returned & (F.col("days_until_readmission") <= 30)).cast("long")
-    staged = staged.withColumn(S.TARGET, _int_or(df, S.TARGET, early))
-    return staged.drop("_u1", "_u2", "_u3", "_u4", "_age")
+    out = numbers
+    for stage in (first, second, third, fourth, fifth):
+        out = out.withColumns({name: F.expr(rule) for name, rule in stage.items()})
+    return out.drop(*draws, "_age", "_senior")
 
 
 def to_silver(df: DataFrame, processed_at: str) -> DataFrame:
@@ -207,10 +171,11 @@ def to_silver(df: DataFrame, processed_at: str) -> DataFrame:
 def latest_silver(df: DataFrame, processed_at: str, order: list[str]) -> DataFrame:
     """One wide Silver row per record hash, the last by ``order``.
 
-    The same rows as ``to_silver`` followed by ``dedup_last``: filling in looks
-    at one row only, so it can run after the shuffle, on fewer rows.
+    The same rows as ``to_silver`` followed by ``dedup_last``. Only the hash is needed to
+    find them; cleaning and filling in look at one row each, so they run after the
+    shuffle, on the rows that stay.
     """
-    return enrich(dedup_last(clean(df, processed_at), ["record_hash"], order))
+    return to_silver(dedup_last(with_record_hash(df), ["record_hash"], order), processed_at)
 
 
 def split_silver(df: DataFrame, order: list[str] | None = None) -> dict[str, DataFrame]:

@@ -20,7 +20,7 @@ def risk_score_live(spark, sf_dir):
 
 @query("admit_month", f"{O.COHORT} SELECT record_hash, admit_day, admit_month FROM cohort")
 def admit_month(spark, sf_dir):
-    return V.cohort(spark, sf_dir).select("record_hash", "admit_day", "admit_month")
+    return C.with_admit_month(V.silver_latest(spark, sf_dir)).select("record_hash", "admit_day", "admit_month")
 
 
 @query(

@@ -179,7 +179,7 @@ def driver_summary(spark, sf_dir):
 )
 def empty_bands(spark, sf_dir):
     low = V.model(spark, sf_dir).where("LACE_Score > -1 AND LACE_Score <= 5")
-    counts = low.groupBy(cut(F.col("LACE_Score"), LACE_BANDS).alias("lace_band")).agg(
+    counts = low.groupBy(cut("LACE_Score", LACE_BANDS).alias("lace_band")).agg(
         F.count(F.lit(1)).alias("patients")
     )
     return final.with_all_bands(counts, LACE_BANDS, "lace_band").drop("band_order")
@@ -191,8 +191,8 @@ def empty_bands(spark, sf_dir):
 def bands(spark, sf_dir):
     return V.cohort(spark, sf_dir).select(
         "record_hash",
-        cut(F.col("age"), AGE_BANDS).alias("age_band"),
-        cut(F.col("LACE_Score"), LACE_BANDS).alias("lace_band"),
+        cut("age", AGE_BANDS).alias("age_band"),
+        cut("LACE_Score", LACE_BANDS).alias("lace_band"),
     )
 
 

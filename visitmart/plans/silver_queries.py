@@ -75,7 +75,7 @@ _columns("derive_outcomes", "record_hash readmitted days_until_readmission readm
     " SELECT record_hash, u1, u2, u3, u4 FROM drawn",
 )
 def hash_draws(spark, sf_dir):
-    draws = [unit_interval(F.col("record_hash"), salt).alias(salt) for salt in ("u1", "u2", "u3", "u4")]
+    draws = [unit_interval("record_hash", salt).alias(salt) for salt in ("u1", "u2", "u3", "u4")]
     return _clean(spark, sf_dir).select("record_hash", *draws)
 
 

@@ -9,6 +9,7 @@ from visitmart.operators.cohort import prepare
 from visitmart.operators.final import model_dataset
 from visitmart.operators.gold import doctor_mart
 from visitmart.operators.silver import latest_silver, to_silver
+from visitmart.session import tune, widen
 
 PROCESSED_AT = "2024-02-01T00:00:00+00:00"
 ORDER = ["_o1", "_o2", "_o3", "_o4"]
@@ -54,9 +55,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def visits_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
     return spark.sql(
         VISITS_SQL,
-        lineitem=table(spark, sf_dir, "lineitem"),
+        lineitem=widen(table(spark, sf_dir, "lineitem"), "l_orderkey"),
         orders=table(spark, sf_dir, "orders"),
         part=table(spark, sf_dir, "part"),
     )
@@ -82,7 +84,8 @@ def model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The model dataset with admission day and hash, prepared for the cohort aggregates."""
-    return prepare(model_dataset(silver_latest(spark, sf_dir), extra=("admit_day", "record_hash")))
+    dataset = model_dataset(silver_latest(spark, sf_dir), extra=("admit_day", "record_hash"))
+    return prepare(dataset, has_admit_day=True)
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:

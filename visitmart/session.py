@@ -15,12 +15,35 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .getOrCreate()
     )
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Let Spark leave whole-stage code that HotSpot would not compile.
+
+    HotSpot interprets methods over 8000 bytes of bytecode. The wide projections here
+    pass that; split into one method per group of columns they run twice as fast.
+    A limit the user has set stays.
+    """
+    name = "spark.sql.codegen.hugeMethodLimit"
+    if spark.conf.get(name) == "65535":
+        spark.conf.set(name, "8000")
+    return spark
+
+
+def widen(df: DataFrame, key: str) -> DataFrame:
+    """Spread a scan of fewer splits than cores by ``key``; a scan of many splits stays as it is.
+
+    Only small inputs are touched, where one file would keep all row work in one task.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
