@@ -19,7 +19,7 @@ PIECES = 256
 def _with_piece(df: DataFrame, value: str, pieces: int) -> DataFrame:
     """Number the value range so that every piece holds about the same number of rows."""
     marks = [position / pieces for position in range(1, pieces)]
-    bounds = sorted(set(df.approxQuantile(value, marks, 0.25 / pieces)))
+    bounds = sorted(set(df.approxQuantile(value, marks, 0.25 / pieces))) if marks else []
     if not bounds:
         return df.withColumn("_piece", F.lit(0))
     splits = [float("-inf"), *bounds, float("inf")]
