@@ -10,7 +10,6 @@ from visitmart import schema as S
 from visitmart.operators.evaluation import classification_metrics
 from visitmart.operators.gold import doctor_mart, hospital_kpi
 from visitmart.operators.quality import quality_report
-from visitmart.operators.silver import split_silver
 from visitmart.plans import oracle as O
 from visitmart.plans import visits as V
 from visitmart.plans.registry import SQL, query, rounded
@@ -85,8 +84,7 @@ def bronze_partitions(spark, sf_dir):
 )
 def silver_round_trip(spark, sf_dir):
     path = _fresh(spark)
-    latest = V.silver_latest(spark, sf_dir)
-    sinks.write_silver(split_silver(latest), path, "2024-02-01")
+    sinks.write_wide_silver(V.silver_latest(spark, sf_dir), path, "2024-02-01")
     return files.read_silver(spark, path)
 
 
@@ -104,7 +102,7 @@ def silver_legacy(spark, sf_dir):
 )
 def silver_files(spark, sf_dir):
     path = _fresh(spark)
-    sinks.write_silver(split_silver(V.silver_latest(spark, sf_dir)), path, "2024-02-01", batch=0)
+    sinks.write_wide_silver(V.silver_latest(spark, sf_dir), path, "2024-02-01", batch=0)
     name = files.table_from_path(F.input_file_name(), path, list(S.SILVER_TABLES))
     rows = files.read_table(spark, path).select(name.alias("table_name"))
     known = files.silver_files(spark, path).select("table_name").distinct()
@@ -223,5 +221,5 @@ def stage_counts(spark, sf_dir):
 def stored_hospital_kpi(spark, sf_dir):
     """The KPI mart from Silver as stored, which is how it runs at scale."""
     path = _fresh(spark)
-    sinks.write_silver(split_silver(V.silver_latest(spark, sf_dir)), path, "2024-02-01")
+    sinks.write_wide_silver(V.silver_latest(spark, sf_dir), path, "2024-02-01")
     return rounded(hospital_kpi(doctor_mart(files.read_silver(spark, path))))

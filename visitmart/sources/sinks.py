@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitmart.operators.shape import validate_key
+from visitmart.operators.silver import split_silver
 from visitmart.sources.paths import children, exists, remove
 
 IDENTIFIER = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
@@ -51,6 +52,15 @@ def write_silver(tables: dict[str, DataFrame], root: str, process_date: str, bat
             table.write.mode("overwrite").parquet(f"{folder}/batch={batch:06d}")
 
 
+def write_wide_silver(wide: DataFrame, root: str, process_date: str, batch: int | None = None) -> None:
+    """Split wide rows into the four tables and write them, working the rows out once for all four."""
+    kept = wide.persist()
+    try:
+        write_silver(split_silver(kept), root, process_date, batch)
+    finally:
+        kept.unpersist()
+
+
 def _complete_versions(spark: SparkSession, path: str) -> list[int]:
     names = [name for name in children(spark, path) if name.startswith("version=")]
     return sorted(int(name[8:]) for name in names if exists(spark, f"{path}/{name}/_SUCCESS"))

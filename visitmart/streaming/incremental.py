@@ -17,7 +17,7 @@ from visitmart.operators.final import driver_summary, model_dataset, reason_summ
 from visitmart.operators.gold import assemble, department_kpi, doctor_mart, hospital_kpi
 from visitmart.operators.quality import quality_report
 from visitmart.operators.shape import dedup_last, ensure_columns, rows_after, upsert
-from visitmart.operators.silver import split_silver, to_silver
+from visitmart.operators.silver import to_silver
 from visitmart.sources import sinks
 from visitmart.sources.files import blank_missing, read_silver, read_silver_tables, read_table, read_visits_csv
 from visitmart.sources.paths import has_files
@@ -114,7 +114,7 @@ def write_silver_batch(batch: DataFrame, number: int, layout: Layout) -> None:
     try:
         sinks.write_report(quality_report(silver, list(layout.required)), f"{layout.quality}/batch={number:06d}")
         latest = dedup_last(silver, ["record_hash"], list(layout.order))
-        sinks.write_silver(split_silver(latest), layout.silver, layout.now[:10], number)
+        sinks.write_wide_silver(latest, layout.silver, layout.now[:10], number)
     finally:
         silver.unpersist()
 
