@@ -8,7 +8,7 @@ from visitmart.operators import training as T
 from visitmart.operators.final import model_dataset
 from visitmart.operators.silver import to_silver
 from visitmart.plans import visits as V
-from visitmart.session import cut
+from visitmart.session import materialise
 from visitmart.sources import files, sinks
 
 SMALL = {"forest_trees": 4, "extra_trees": 4, "max_depth": 4, "max_iter": 20}
@@ -17,7 +17,7 @@ SMALL = {"forest_trees": 4, "extra_trees": 4, "max_depth": 4, "max_iter": 20}
 @pytest.fixture(scope="module")
 def rows(spark, sf):
     silver = to_silver(V.visits_raw(spark, sf), V.PROCESSED_AT).where("hospitalid < 75").dropDuplicates(["record_hash"])
-    return cut(model_dataset(silver, extra=("record_hash",)))
+    return materialise(model_dataset(silver, extra=("record_hash",)))
 
 
 @pytest.fixture(scope="module")
@@ -74,3 +74,10 @@ def test_dashboard_model_guards(spark, rows):
 def test_single_class_is_an_error(rows):
     with pytest.raises(ValueError):
         T.train(rows.withColumn(S.TARGET, F.lit(1)), "record_hash", **SMALL)
+
+
+def test_text_columns_with_too_many_values_are_named(rows):
+    assert rows.select("gender").distinct().count() == 6
+    with pytest.raises(ValueError, match=r"gender \(6\)"):
+        T.check_categories(rows, ["gender", "insurance_provider"], limit=5)
+    T.check_categories(rows, ["gender", "insurance_provider"], limit=6)

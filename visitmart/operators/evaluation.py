@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from visitmart import schema as S
 from visitmart.functions.numbers import ratio, to_float
 from visitmart.operators.ordered import running_totals
-from visitmart.session import cut
+from visitmart.session import materialise
 
 # Hex digits of the order hash that name a piece: 16 ** 4 pieces per class.
 _PIECE_DIGITS = 4
@@ -72,7 +72,7 @@ def stratified_split(
     shares = [sum(list(parts.values())[: i + 1]) for i in range(len(names) - 1)]
     hashed = df.withColumn("_h", F.sha2(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}")), 256))
     # Read twice below, so evaluated once.
-    narrow = cut(
+    narrow = materialise(
         hashed.select(F.col(label).alias("_c"), "_h", F.substring("_h", 1, _PIECE_DIGITS).alias("_piece"))
     )
 

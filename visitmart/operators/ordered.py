@@ -11,7 +11,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from visitmart.session import cut
+from visitmart.session import materialise
 
 PIECES = 256
 
@@ -41,7 +41,7 @@ def running_totals(
     once to the shared folder: the bounds, the totals and the sums read it.
     """
     by = by or []
-    numbered = _with_piece(cut(distinct), value, pieces)
+    numbered = _with_piece(materialise(distinct), value, pieces)
 
     def ordered(name: str) -> Column:
         return F.col(name).desc() if descending else F.col(name).asc()

@@ -23,9 +23,11 @@ from visitmart import schema as S
 from visitmart.functions.numbers import round_even, to_float
 from visitmart.operators import evaluation as E
 from visitmart.operators.shape import numeric_like, spread
-from visitmart.session import cut
+from visitmart.session import materialise
 
 LABEL, WEIGHT, FEATURES, KEY = "_label", "_weight", "_features", "_row_key"
+# The indexer keeps every value of a text column on the driver and in the model.
+MAX_CATEGORIES = 100_000
 
 
 @dataclass(frozen=True)
@@ -68,17 +70,30 @@ def typed_features(df: DataFrame, columns: Columns) -> DataFrame:
     )
 
 
-def most_frequent(df: DataFrame, columns: list[str]) -> DataFrame:
-    """The most frequent value of each column, the least of them on a tie. One row per column."""
-    counts = (
+def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows per value of each column."""
+    return (
         df.select([F.col(name).cast("string").alias(name) for name in columns])
         .unpivot([], columns, "feature", "value")
         .where("value IS NOT NULL")
         .groupBy("feature", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+
+
+def most_frequent(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The most frequent value of each column, the least of them on a tie. One row per column."""
     first = Window.partitionBy("feature").orderBy(F.col("n").desc(), F.col("value").asc())
-    return counts.withColumn("_rank", F.row_number().over(first)).where("_rank = 1").select("feature", "value")
+    ranked = value_counts(df, columns).withColumn("_rank", F.row_number().over(first))
+    return ranked.where("_rank = 1").select("feature", "value")
+
+
+def check_categories(df: DataFrame, columns: list[str], limit: int = MAX_CATEGORIES) -> None:
+    """An error naming the text columns with so many values that their list does not belong in a model."""
+    sizes = value_counts(df, columns).groupBy("feature").agg(F.count(F.lit(1)).alias("n"))
+    large = [f"{row['feature']} ({row['n']})" for row in sizes.where(F.col("n") > limit).collect()]
+    if large:
+        raise ValueError(f"text columns with more than {limit} values: {', '.join(sorted(large))}")
 
 
 def preprocessor(df: DataFrame, columns: Columns) -> list[Estimator]:
@@ -98,6 +113,7 @@ def preprocessor(df: DataFrame, columns: Columns) -> list[Estimator]:
         ]
         parts.append("_scaled")
     if categorical:
+        check_categories(df, categorical)
         values = {row["feature"]: row["value"] for row in most_frequent(df, categorical).collect()}
         fills = ", ".join(
             "coalesce(`{0}`, '{1}') AS `{0}__filled`".format(name, values.get(name, "").replace("'", "\\'"))
@@ -218,7 +234,7 @@ def train(
     ready = typed_features(keyed, columns)
     parts = {"train": 100 - test_pct - validation_pct, "validation": validation_pct, "test": test_pct}
     used = ready.select(KEY, LABEL, *columns.numeric, *columns.categorical)
-    split = cut(E.stratified_split(used, LABEL, KEY, parts, seed))
+    split = materialise(E.stratified_split(used, LABEL, KEY, parts, seed))
 
     fitting, validation = split.where("part = 'train'"), split.where("part = 'validation'")
     both, test = split.where("part <> 'test'"), split.where("part = 'test'")
@@ -295,7 +311,7 @@ def fit_dashboard_model(df: DataFrame, key: str, seed: int = 42, min_rows: int =
     ready = typed_features(df.withColumnRenamed(key, KEY), columns)
     unknown = {name: F.coalesce(F.col(name), F.lit("unknown")) for name in columns.categorical}
     used = ready.withColumns(unknown).select(KEY, LABEL, *columns.numeric, *columns.categorical)
-    split = cut(E.stratified_split(used, LABEL, KEY, {"train": 70, "test": 30}, seed))
+    split = materialise(E.stratified_split(used, LABEL, KEY, {"train": 70, "test": 30}, seed))
     fitting, test = split.where("part = 'train'"), split.where("part = 'test'")
     logistic = candidates(fitting.count(), seed, max_iter=2000)["logistic_regression"]
     stages = [*preprocessor(split, columns), logistic]

@@ -10,7 +10,7 @@ from visitmart.plans import oracle as O
 from visitmart.plans import visits as V
 from visitmart.plans.gold_queries import DRIVER_SQL, REASON_SQL
 from visitmart.plans.registry import query, rounded
-from visitmart.session import cut
+from visitmart.session import materialise
 
 STOP = "the of and to in is it that this for with on as by an at be from or are was".split()
 QUESTION = "Where were the worthless onstable things with relation and the condition of thenti"
@@ -137,7 +137,7 @@ _ASK = "Which lace_band has the highest readmission_30d_rate_pct for Brand#11 pa
 
 def _top_chunks(spark, sf_dir):
     # A few hundred chunks, read several times: written once.
-    return R.retrieve(cut(_chunks(spark, sf_dir)), "chunk_id", "text", _ASK, 6, STOP, VOCABULARY)
+    return R.retrieve(materialise(_chunks(spark, sf_dir)), "chunk_id", "text", _ASK, 6, STOP, VOCABULARY)
 
 
 _RANKED = f"{_CHUNKS}, {_tokens_sql('chunks', 'chunk_id', 'text')}, {_vocabulary_sql('chunks')}"

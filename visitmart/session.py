@@ -64,7 +64,7 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
-def cut(df: DataFrame) -> DataFrame:
+def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder, so several readers see one evaluation of it."""
     spark = df.sparkSession
     folder = shared_dir(spark)

@@ -16,8 +16,8 @@ from visitmart import schema as S
 from visitmart.operators.final import driver_summary, model_dataset, reason_summary
 from visitmart.operators.gold import assemble, department_kpi, doctor_mart, hospital_kpi
 from visitmart.operators.quality import quality_report
-from visitmart.operators.shape import dedup_last, ensure_columns, rows_after, upsert
-from visitmart.operators.silver import to_silver
+from visitmart.operators.shape import ensure_columns, rows_after, upsert
+from visitmart.operators.silver import latest_silver, to_silver
 from visitmart.sources import sinks
 from visitmart.sources.files import blank_missing, read_silver, read_silver_tables, read_table, read_visits_csv
 from visitmart.sources.paths import has_files
@@ -28,13 +28,18 @@ BRONZE_ORDER = ["_airbyte_emitted_at", "_airbyte_data"]
 
 @dataclass(frozen=True)
 class Layout:
-    """Where the stages live. ``now`` is the ISO time in UTC given to everything written in this run."""
+    """Where the stages live. ``now`` is the ISO time in UTC given to everything written in this run.
+
+    ``max_files`` bounds the files of one batch on the way to Bronze and Silver, so that a
+    large backlog is worked off in steps.
+    """
 
     source: str
     root: str
     now: str
     stream: str = "ehr_visits"
     max_rows: int = 5000
+    max_files: int = 10_000
     order: tuple[str, ...] = tuple(BRONZE_ORDER)
     extra: tuple[str, ...] = ()
     required: tuple[str, ...] = tuple(S.QUALITY_COLUMNS)
@@ -73,6 +78,7 @@ def sync_new_files(spark: SparkSession, layout: Layout) -> int:
         .option("header", True)
         .option("enforceSchema", False)
         .option("escape", '"')
+        .option("maxFilesPerTrigger", layout.max_files)
         .csv(layout.source)
     )
     rows = sinks.to_raw_envelope(blank_missing(source), layout.stream, layout.now)
@@ -110,13 +116,10 @@ def sync_rows_after(spark: SparkSession, layout: Layout, order: str) -> int:
 
 def write_silver_batch(batch: DataFrame, number: int, layout: Layout) -> None:
     """Silver tables and quality report of one batch of Bronze rows."""
-    silver = to_silver(batch, layout.now).persist()
-    try:
-        sinks.write_report(quality_report(silver, list(layout.required)), f"{layout.quality}/batch={number:06d}")
-        latest = dedup_last(silver, ["record_hash"], list(layout.order))
-        sinks.write_wide_silver(latest, layout.silver, layout.now[:10], number)
-    finally:
-        silver.unpersist()
+    report = quality_report(to_silver(batch, layout.now), list(layout.required))
+    sinks.write_report(report, f"{layout.quality}/batch={number:06d}")
+    latest = latest_silver(batch, layout.now, list(layout.order))
+    sinks.write_wide_silver(latest, layout.silver, layout.now[:10], number)
 
 
 def bronze_to_silver(spark: SparkSession, layout: Layout) -> int:
@@ -127,6 +130,7 @@ def bronze_to_silver(spark: SparkSession, layout: Layout) -> int:
     query = (
         spark.readStream.schema(schema)
         .option("recursiveFileLookup", True)
+        .option("maxFilesPerTrigger", layout.max_files)
         .parquet(layout.bronze)
         .writeStream.foreachBatch(lambda batch, number: write_silver_batch(batch, number, layout))
         .option("checkpointLocation", layout.checkpoint("silver"))
