@@ -10,6 +10,7 @@ from visitmart import schema as S
 from visitmart.operators.evaluation import classification_metrics
 from visitmart.operators.gold import doctor_mart, hospital_kpi
 from visitmart.operators.quality import quality_report
+from visitmart.plans import gold_queries, model_queries  # noqa: F401  (their SQL is used again here)
 from visitmart.plans import oracle as O
 from visitmart.plans import visits as V
 from visitmart.plans.registry import SQL, query, rounded

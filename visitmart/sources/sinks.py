@@ -52,11 +52,19 @@ def write_silver(tables: dict[str, DataFrame], root: str, process_date: str, bat
             table.write.mode("overwrite").parquet(f"{folder}/batch={batch:06d}")
 
 
-def write_wide_silver(wide: DataFrame, root: str, process_date: str, batch: int | None = None) -> None:
-    """Split wide rows into the four tables and write them, working the rows out once for all four."""
+def write_wide_silver(
+    wide: DataFrame, root: str, process_date: str, batch: int | None = None, rows_per_file: int = 250_000
+) -> None:
+    """Split wide rows into the four tables and write them, working the rows out once for all four.
+
+    A small batch is written to few files: the plans of a stream's batch keep all
+    shuffle partitions, however few rows they hold.
+    """
     kept = wide.persist()
     try:
-        write_silver(split_silver(kept), root, process_date, batch)
+        wanted = max(1, -(-kept.count() // rows_per_file))
+        fewer = kept.coalesce(wanted) if wanted < kept.rdd.getNumPartitions() else kept
+        write_silver(split_silver(fewer), root, process_date, batch)
     finally:
         kept.unpersist()
 

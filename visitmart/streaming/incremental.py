@@ -66,6 +66,15 @@ class Layout:
         return f"{self.root}/checkpoints/{name}"
 
 
+def adaptive(batch: DataFrame) -> None:
+    """Turn adaptive execution on for the work on one batch.
+
+    A stream's session has it off; the joins and writes on a batch are queries of their own and need it
+    for right-sized partitions and skewed keys.
+    """
+    batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def sync_new_files(spark: SparkSession, layout: Layout) -> int:
     """Wrap the rows of new source CSV files and append them to Bronze. Returns the rows in Bronze.
 
@@ -116,6 +125,7 @@ def sync_rows_after(spark: SparkSession, layout: Layout, order: str) -> int:
 
 def write_silver_batch(batch: DataFrame, number: int, layout: Layout) -> None:
     """Silver tables and quality report of one batch of Bronze rows."""
+    adaptive(batch)
     report = quality_report(to_silver(batch, layout.now), list(layout.required))
     sinks.write_report(report, f"{layout.quality}/batch={number:06d}")
     latest = latest_silver(batch, layout.now, list(layout.order))
@@ -156,6 +166,7 @@ def merge_touched(batch: DataFrame, layout: Layout) -> None:
 
     Taking all of Silver for them means that a part file may come before or after its core file.
     """
+    adaptive(batch)
     spark = batch.sparkSession
     touched = batch.select("record_hash").distinct()
     tables = {
