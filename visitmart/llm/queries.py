@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from visitmart.llm import secrets, sharding
+from visitmart.llm import bpe, decontaminate, fm, secrets, sharding
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -19,11 +20,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op4_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = fm.score(docs, fm.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", fm.held_out(scored.doc_id).alias("held_out"), "score", "predicted")
+
+
 @query
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.round_trip_report(docs, path, public_tokenizers.PATTERN)
+
+
 @query
 def op10_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))

@@ -124,14 +124,15 @@ def words(data: np.ndarray, starts: np.ndarray) -> Words:
     return Words(h, s, e, np.searchsorted(s, starts))
 
 
-def texts(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, Words, np.ndarray]]:
-    """Each batch in slices of about a segment, with the words and the bytes of its texts."""
+def texts(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, Words, np.ndarray, np.ndarray]]:
+    """Each batch in slices of about a segment, with the words, bytes and byte offsets of its texts."""
     for batch in batches:
         if not batch.num_rows:
             continue
         data, starts = text_bytes(batch.column(column))
         for low, high in pieces(starts):
-            yield batch.slice(low, high - low), words(data, starts[low : high + 1]), data
+            borders = starts[low : high + 1]
+            yield batch.slice(low, high - low), words(data, borders), data, borders
 
 
 def shingles(found: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
