@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from visitmart.llm import bpe, decontaminate, fm, secrets, sharding
+from visitmart.llm import bpe, decontaminate, fm, jaccard, secrets, sharding
+from visitmart.llm.shared import importable
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -17,7 +18,7 @@ def query(build):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return importable(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 @query
@@ -25,6 +26,11 @@ def op1_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
 @query
 def op4_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,3 +27,12 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete an intermediate table that nothing reads any more."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def importable(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package from the driver's source folder, where it is not installed."""
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "")
+    if root not in known.split(":"):
+        environment["PYTHONPATH"] = f"{root}:{known}" if known else root
+    return spark
