@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from visitmart.llm import bpe, decontaminate, fm, jaccard, secrets, sharding
+from visitmart.llm import bpe, decontaminate, fm, jaccard, pii, secrets, sharding
 from visitmart.llm.shared import importable
 
 QUERIES: dict = {}
@@ -50,6 +50,12 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_report(docs, path, public_tokenizers.PATTERN)
 
 
+@query
+def op7_semi_markov_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.pii_report(docs, pii.train(docs))
+
+
 @query
 def op10_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
