@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from visitmart.llm import bpe, decontaminate, fm, jaccard, pii, secrets, sharding
+from visitmart.llm import bpe, decontaminate, fm, jaccard, maxent, pii, secrets, sharding
 from visitmart.llm.shared import importable
 
 QUERIES: dict = {}
@@ -56,6 +56,11 @@ def op7_semi_markov_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(docs, pii.train(docs))
 
 
+@query
+def op8_hashed_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.score(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
