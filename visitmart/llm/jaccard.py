@@ -2,11 +2,11 @@
 
 The tokens of a document are its distinct word shingles, as 64-bit hashes, in one order for all
 documents: rare ones first, then frequent ones, by hash within each class. A document of n tokens
-may lack at most n - ceil(t n) of them in any partner, so it indexes one token more than that, from
-the front. Rare tokens are indexed singly. Where they do not suffice, the prefix goes on into the
+may lack at most m = n - ceil(t n) of them in any partner, so of m + l tokens from the front at least
+l are shared; l is a quarter of m, and at least one. Rare tokens are indexed singly. Where they do not suffice, the prefix goes on into the
 frequent class, whose tokens are dealt over sub-classes and indexed as pairs within a sub-class: k
 tokens of one sub-class then stand for k - 1, and the prefix is extended until the sum reaches what is
-needed. Two partners share a token or a pair. How many documents hold a token is counted over all.
+needed. Two partners share l of these tokens and pairs, for the smaller l. How many documents hold a token is counted over all.
 
 Equal sets are one node. Candidates are verified by exact intersection. In the buckets of pairs, which
 copies may fill, each member is first compared with the bucket's first and last set; then just those
@@ -132,11 +132,17 @@ def _pairs(tokens: np.ndarray, need: int, level: int) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
+def shared_least(size: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """How many tokens may be lacking in a partner, and how many of so many more the two then share."""
+    lacking = size - (percent * size + 99) // 100
+    return lacking, np.minimum(1 + lacking // 4, size - lacking)
+
+
 def signatures(edge: np.ndarray, h: np.ndarray, frequent: np.ndarray, percent: int):
     """(row, signature, whether it is of frequent tokens) of all prefixes."""
     size = np.diff(edge)
     row = np.repeat(np.arange(len(size)), size)
-    need = size - (percent * size + 99) // 100 + 1
+    need = sum(shared_least(size, percent))
     many = np.bincount(row, frequent, minlength=len(size)).astype(np.int64)
     order = np.lexsort((frequent, row)) if frequent.any() else np.arange(len(h))  # stable: by hash within a class
     place = np.arange(len(h)) - np.repeat(edge[:-1], size)
@@ -161,6 +167,9 @@ def signatures(edge: np.ndarray, h: np.ndarray, frequent: np.ndarray, percent: i
     return np.concatenate(rows), np.concatenate(sigs), np.concatenate(heavy)
 
 
+_POSTING = "sig long, set_id long, n int, least int, heavy boolean"
+
+
 def _postings(docs: DataFrame, n: int, percent: int, heads: np.ndarray, drop: int) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(heads)  # at most MOST_FREQUENT
 
@@ -183,12 +192,21 @@ def _postings(docs: DataFrame, n: int, percent: int, heads: np.ndarray, drop: in
             if len(frequent):
                 flag = frequent[np.minimum(np.searchsorted(frequent, head), len(frequent) - 1)] == head
             row, sig, heavy = signatures(edge, h, flag, percent)
+            # the shared signatures of a set without pairs are all in the light buckets
+            least = shared_least(size, percent)[1]
+            least[np.unique(row[heavy])] = 0
             yield pa.RecordBatch.from_arrays(
-                [pa.array(sig.view(np.int64)), pa.array(ids[row]), pa.array(size[row].astype(np.int32)), pa.array(heavy)],
-                names=["sig", "set_id", "n", "heavy"],
+                [
+                    pa.array(sig.view(np.int64)),
+                    pa.array(ids[row]),
+                    pa.array(size[row].astype(np.int32)),
+                    pa.array(least[row].astype(np.int32)),
+                    pa.array(heavy),
+                ],
+                names=["sig", "set_id", "n", "least", "heavy"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "sig long, set_id long, n int, heavy boolean")
+    return docs.select("doc_id", "text").mapInArrow(run, _POSTING)
 
 
 def _sizes_fit(percent: int):
@@ -232,6 +250,8 @@ def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFr
     is named by its smallest doc_id. Repeated rows and ids keep a row each. No rows give no rows; further columns are
     not read.
     """
+    if not 50 <= percent <= 100:
+        raise ValueError("percent must be from 50 to 100")
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = stored(token_sets(docs, n), "sets")
@@ -240,13 +260,13 @@ def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFr
     path = folder(spark, "postings")
     _postings(docs, n, percent, heads, drop).write.partitionBy("heavy").parquet(path)
     try:
-        postings = spark.read.schema("sig long, set_id long, n int, heavy boolean").parquet(path)
+        postings = spark.read.schema(_POSTING).parquet(path)
         bucket = W.partitionBy("sig")
         light = stored(
             postings.where("NOT heavy")
-            .select("sig", "set_id", "n", F.min("set_id").over(bucket).alias("low"), F.max("set_id").over(bucket).alias("high"))
+            .select("sig", "set_id", "n", "least", F.min("set_id").over(bucket).alias("low"), F.max("set_id").over(bucket).alias("high"))
             .where("low < high")
-            .select("sig", "set_id", "n")
+            .select("sig", "set_id", "n", "least")
             .distinct(),
             "light",
         )
@@ -257,7 +277,19 @@ def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFr
     def side(df: DataFrame, name: str, *more: str) -> DataFrame:
         return df.select("sig", F.col("set_id").alias(name), F.col("n").alias(f"{name}_n"), *more)
 
-    within = side(light, "a").join(side(light, "b"), "sig").where("a < b")
+    within = (
+        side(light, "a", F.col("least").alias("a_least"))
+        .join(side(light, "b", F.col("least").alias("b_least")), "sig")
+        .where((F.col("a") < F.col("b")) & _sizes_fit(percent))
+        .groupBy("a", "b")
+        .agg(F.count("*").alias("shared"), F.max("a_least").alias("a_least"), F.max("b_least").alias("b_least"))
+        # 0 marks a set with pairs: then the number may be that set's, and more may be shared in pairs
+        .where(
+            F.when((F.col("a_least") == 0) | (F.col("b_least") == 0), F.col("shared") >= 1).otherwise(
+                F.col("shared") >= F.least("a_least", "b_least")
+            )
+        )
+    )
     ends = heavy.groupBy("sig").agg(F.min(F.struct("set_id", "n")).alias("low"), F.max(F.struct("set_id", "n")).alias("high"))
     ends = ends.where("low.set_id < high.set_id")
     star = (
@@ -271,8 +303,7 @@ def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFr
             F.col("e.n").alias("b_n"),
         )
     )
-    names = ["a", "b", "a_n", "b_n"]
-    first = stored(within.select(names).union(star.select(names)).where(_sizes_fit(percent)).select("a", "b").distinct(), "pairs")
+    first = stored(within.select("a", "b").union(star.where(_sizes_fit(percent)).select("a", "b")).distinct(), "pairs")
     links = _verify(docs, sets, first, n, percent)
     comps = components(links)
     if not heavy.isEmpty():
