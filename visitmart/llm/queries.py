@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from visitmart.llm import bpe, decontaminate, fm, jaccard, maxent, pii, secrets, sharding
+from visitmart.llm import bpe, decontaminate, fm, jaccard, maxent, pii, secrets, sharding, toxicity
 from visitmart.llm.shared import importable
 
 QUERIES: dict = {}
@@ -61,6 +61,13 @@ def op8_hashed_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxent.score(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_bigru_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", toxicity.held_out(scored.doc_id).alias("held_out"), "score", "predicted", "windows", "worst_word")
+
+
 @query
 def op10_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
