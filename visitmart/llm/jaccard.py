@@ -10,7 +10,8 @@ needed. Two partners share l of these tokens and pairs, for the smaller l. How m
 
 Equal sets are one node. Candidates are verified by exact intersection. In the buckets of pairs, which
 copies may fill, each member is first compared with the bucket's first and last set; then just those
-members that are still in different components, so a group of many copies costs a multiple of its size.
+members that are still in different components, and of these only such whose parity bitmaps differ in no
+more places than the two sets may (each token in one set alone changes one place at most).
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ MOST_FREQUENT = 2_000_000
 #: Below this size frequent tokens are indexed singly.
 SMALL = 64
 _FLUSH = 2_000_000
+MAPS = [f"m{k}" for k in range(8)]  # a parity bitmap of 512 places
 
 
 def _tokens(batches: Iterator[pa.RecordBatch], n: int):
@@ -167,7 +169,18 @@ def signatures(edge: np.ndarray, h: np.ndarray, frequent: np.ndarray, percent: i
     return np.concatenate(rows), np.concatenate(sigs), np.concatenate(heavy)
 
 
-_POSTING = "sig long, set_id long, n int, least int, heavy boolean"
+_POSTING = ", ".join(["sig long, set_id long, n int, least int", *(f"{m} long" for m in MAPS), "heavy boolean"])
+
+
+def parity_maps(edge: np.ndarray, h: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """For each of ``rows`` eight words of bits: whether an odd number of its tokens fall on the place."""
+    size = np.diff(edge)
+    number = np.full(len(size), -1)
+    number[rows] = np.arange(len(rows))
+    own = np.repeat(number, size)
+    place = (mix(h + np.uint64(0x2545F4914F6CDD1D)) >> np.uint64(55)).astype(np.int64)
+    odd = np.bincount((own * 512 + place)[own >= 0], minlength=512 * len(rows)) & 1
+    return np.packbits(odd.astype(bool).reshape(len(rows), 512), axis=1).view(np.int64)
 
 
 def _postings(docs: DataFrame, n: int, percent: int, heads: np.ndarray, drop: int) -> DataFrame:
@@ -194,16 +207,21 @@ def _postings(docs: DataFrame, n: int, percent: int, heads: np.ndarray, drop: in
             row, sig, heavy = signatures(edge, h, flag, percent)
             # the shared signatures of a set without pairs are all in the light buckets
             least = shared_least(size, percent)[1]
-            least[np.unique(row[heavy])] = 0
+            paired = np.unique(row[heavy])
+            least[paired] = 0
+            maps = np.zeros((len(size), len(MAPS)), dtype=np.int64)
+            if len(paired):
+                maps[paired] = parity_maps(edge, h, paired)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(sig.view(np.int64)),
                     pa.array(ids[row]),
                     pa.array(size[row].astype(np.int32)),
                     pa.array(least[row].astype(np.int32)),
+                    *(pa.array(maps[row, k], mask=~heavy) for k in range(len(MAPS))),
                     pa.array(heavy),
                 ],
-                names=["sig", "set_id", "n", "least", "heavy"],
+                names=["sig", "set_id", "n", "least", *MAPS, "heavy"],
             )
 
     return docs.select("doc_id", "text").mapInArrow(run, _POSTING)
@@ -213,6 +231,16 @@ def _sizes_fit(percent: int):
     return F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent
 
 
+def _named_maps(name: str, source: str = "") -> list:
+    return [F.col(f"{source}{m}").alias(f"{name}_{m}") for m in MAPS]
+
+
+def _maps_fit(percent: int):
+    """Whether the bitmaps differ in no more places than sets of these sizes may."""
+    differ = sum((F.bit_count(F.col(f"a_{m}").bitwiseXOR(F.col(f"b_{m}"))) for m in MAPS), F.lit(0))
+    return differ * (100 + percent) <= (F.col("a_n") + F.col("b_n")) * (100 - percent)
+
+
 def _verify(docs: DataFrame, sets: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
     """Those of ``pairs`` (a, b) whose sets are similar."""
     spark = docs.sparkSession
@@ -270,7 +298,7 @@ def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFr
             .distinct(),
             "light",
         )
-        heavy = stored(postings.where("heavy").select("sig", "set_id", "n").distinct(), "heavy")
+        heavy = stored(postings.where("heavy").select("sig", "set_id", "n", *MAPS).dropDuplicates(["sig", "set_id"]), "heavy")
     finally:
         remove(spark, path)
 
@@ -290,20 +318,15 @@ def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFr
             )
         )
     )
-    ends = heavy.groupBy("sig").agg(F.min(F.struct("set_id", "n")).alias("low"), F.max(F.struct("set_id", "n")).alias("high"))
-    ends = ends.where("low.set_id < high.set_id")
-    star = (
-        heavy.join(ends, "sig")
-        .select("set_id", "n", F.explode(F.array("low", "high")).alias("e"))
-        .where("set_id <> e.set_id")
-        .select(
-            F.least("set_id", "e.set_id").alias("a"),
-            F.greatest("set_id", "e.set_id").alias("b"),
-            F.col("n").alias("a_n"),
-            F.col("e.n").alias("b_n"),
-        )
+    whole = F.struct("set_id", "n", *MAPS)
+    ends = heavy.groupBy("sig").agg(F.min(whole).alias("low"), F.max(whole).alias("high"))
+    ends = ends.where("low.set_id < high.set_id").select("sig", F.explode(F.array("low", "high")).alias("e"))
+    star = side(heavy, "a", *_named_maps("a")).join(
+        ends.select("sig", F.col("e.set_id").alias("b"), F.col("e.n").alias("b_n"), *_named_maps("b", "e.")), "sig"
     )
-    first = stored(within.select("a", "b").union(star.where(_sizes_fit(percent)).select("a", "b")).distinct(), "pairs")
+    star = star.where((F.col("a") != F.col("b")) & _sizes_fit(percent) & _maps_fit(percent))
+    star = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    first = stored(within.select("a", "b").union(star).distinct(), "pairs")
     links = _verify(docs, sets, first, n, percent)
     comps = components(links)
     if not heavy.isEmpty():
@@ -312,10 +335,10 @@ def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFr
         mixed = placed.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
         placed = stored(placed.join(mixed.select("sig"), "sig", "left_semi"), "mixed")
         if not placed.isEmpty():
-            apart = side(placed, "a", F.col("comp").alias("a_comp")).join(
-                side(placed, "b", F.col("comp").alias("b_comp")), "sig"
+            apart = side(placed, "a", F.col("comp").alias("a_comp"), *_named_maps("a")).join(
+                side(placed, "b", F.col("comp").alias("b_comp"), *_named_maps("b")), "sig"
             )
-            apart = apart.where((F.col("a_comp") < F.col("b_comp")) & _sizes_fit(percent))
+            apart = apart.where((F.col("a_comp") < F.col("b_comp")) & _sizes_fit(percent) & _maps_fit(percent))
             apart = apart.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
             second = stored(apart.join(first, ["a", "b"], "left_anti"), "pairs")
             if not second.isEmpty():

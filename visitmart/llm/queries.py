@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from visitmart.llm import bpe, decontaminate, fm, jaccard, maxent, pii, secrets, sharding, toxicity
+from visitmart.llm import ann, bpe, decontaminate, fm, jaccard, maxent, pii, secrets, sharding, toxicity
 from visitmart.llm.shared import importable
 
 QUERIES: dict = {}
@@ -26,6 +26,11 @@ def op1_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op2_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), "id % 100 = 0", k=10)
+
+
 @query
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"), n=4, percent=85)
