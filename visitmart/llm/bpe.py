@@ -133,20 +133,19 @@ def _encoder(path: str, pattern: str) -> Encoder:
     return _encoders[path, pattern]
 
 
-def _free(df: DataFrame, *names: str) -> None:
-    if taken := {c.lower() for c in df.columns} & set(names):
-        raise ValueError(f"columns {sorted(taken)} are taken")
+def _without(df: DataFrame, *names: str) -> DataFrame:
+    return df.select([F.col(f"`{c}`") for c in df.columns if c.lower() not in names])
 
 
 def encode(df: DataFrame, path: str, pattern: str, column: str = "text", offsets: bool = True) -> DataFrame:
     """``df`` with ``ids`` and, with ``offsets``, ``starts`` and ``ends`` (characters, end exclusive), one a token.
 
     A character whose bytes lie in several tokens is covered by each of them. Null and empty texts have
-    no tokens; special tokens' strings are ordinary text. Every other column is kept; one with a result's
-    name is an error. ``path`` must exist on each executor.
+    no tokens; special tokens' strings are ordinary text. Every other column is kept, but one that has a
+    result's name is replaced. ``path`` must exist on each executor.
     """
     added = ["ids", "starts", "ends"] if offsets else ["ids"]
-    _free(df, *added)
+    df = _without(df, *added)
     schema = T.StructType(df.schema.fields + [T.StructField(c, T.ArrayType(T.IntegerType(), False)) for c in added])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,14 +166,14 @@ def encode(df: DataFrame, path: str, pattern: str, column: str = "text", offsets
 
 
 def decode(df: DataFrame, path: str, column: str = "ids", into: str = "decoded") -> DataFrame:
-    """``df`` with the bytes that the ids stand for, in place of ``column``; null ids count as none.
+    """``df`` with the bytes that the ids stand for, in place of ``column`` and of any column named ``into``; null ids count as none.
 
     ``F.decode(bytes, 'UTF-8')`` makes text of them: any ids of a whole text give its characters back, cut
     ones may begin or end inside a character. An id without a token is an error.
     """
+    if into.lower() != column.lower():
+        df = _without(df, into.lower())
     kept = [f for f in df.schema.fields if f.name != column]
-    if into.lower() in {f.name.lower() for f in kept}:
-        raise ValueError(f"column {into} is taken")
     schema = T.StructType(kept + [T.StructField(into, T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -393,10 +393,9 @@ def _slices(batches, column: str = "text"):
 def find(docs: DataFrame, field: Field, into: str = "pii_spans") -> DataFrame:
     """``docs`` with all spans of ``text``: kind, start and end in code points, and whether a pattern found it.
 
-    Null and empty texts have none. Every column is kept; ``into`` must be free.
+    Null and empty texts have none. Every column is kept, but one named ``into`` is replaced.
     """
-    if into.lower() in {c.lower() for c in docs.columns}:
-        raise ValueError(f"column {into} is taken")
+    docs = docs.select([F.col(f"`{c}`") for c in docs.columns if c.lower() != into.lower()])
     sent = docs.sparkSession.sparkContext.broadcast(field)  # a fixed size
     schema = T.StructType(docs.schema.fields + [T.StructField(into, SPANS)])
 

@@ -87,10 +87,12 @@ def scan_versions(versions: DataFrame, ledger: str, path: str = "path", content:
 
     ``ledger`` is a Parquet folder; what it holds is not scanned again, what is new is appended.
     A null content counts as empty; equal contents are one blob whatever their paths; repeated
-    rows each keep their row; no rows give no rows. Work columns are named ``_blob`` and ``_pick``.
+    rows each keep their row; no rows give no rows. Columns named as a result or work column (``_blob``,
+    ``_pick``, ``_hit``) are left out.
     """
     spark = versions.sparkSession
-    kept = [c for c in versions.columns if c != content]
+    taken = {content.lower(), "_blob", "_pick", "_hit", "blob", "spans"}
+    kept = [F.col(f"`{c}`") for c in versions.columns if c.lower() not in taken]
     addressed = stored(versions.select(*kept, blob_of(F.col(content)).alias("_blob")), "addresses")
     known = read_ledger(spark, ledger).select("blob", "rule", "version").distinct()
     wanted = F.explode(F.array(*[F.struct(F.lit(r.kind).alias("rule"), F.lit(r.version).alias("version")) for r in rules]))
