@@ -110,7 +110,7 @@ def words(data: np.ndarray, starts: np.ndarray) -> Words:
                 high = min(high + SEGMENT, top)
                 gaps = np.flatnonzero(~SOLID[data[low:high]])
                 borders = starts[(starts > low) & (starts <= high)]
-                found = [low + int(gaps[0]) + 1] * bool(len(gaps)) + [int(borders[0])] * bool(len(borders))
+                found = [low + int(g) + 1 for g in gaps[:1]] + [int(b) for b in borders[:1]]
                 cut = min(found) if found else top if high == top else low
             high = cut
         inside = starts[(starts >= low) & (starts < high)] - low
