@@ -35,7 +35,9 @@ MOST_FREQUENT = 2_000_000
 #: Below this size frequent tokens are indexed singly.
 SMALL = 64
 _FLUSH = 2_000_000
-MAPS = [f"m{k}" for k in range(8)]  # a parity bitmap of 512 places
+_SIEVE_BITS = 24
+MAPS = [f"m{k}" for k in range(16)]  # a parity bitmap of 1024 places
+STARS = 3  # rounds of comparing buckets with two of their sets
 
 
 def _tokens(batches: Iterator[pa.RecordBatch], n: int):
@@ -141,11 +143,13 @@ def shared_least(size: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray
 
 
 def signatures(edge: np.ndarray, h: np.ndarray, frequent: np.ndarray, percent: int):
-    """(row, signature, whether it is of frequent tokens) of all prefixes."""
+    """(row, signature, whether it is of frequent tokens) of all prefixes, and l of each set."""
     size = np.diff(edge)
     row = np.repeat(np.arange(len(size)), size)
-    need = sum(shared_least(size, percent))
     many = np.bincount(row, frequent, minlength=len(size)).astype(np.int64)
+    lacking, least = shared_least(size, percent)
+    least = np.clip(size - many - lacking, np.minimum(1, least), least)  # no pairs are made for more than one
+    need = lacking + least
     order = np.lexsort((frequent, row)) if frequent.any() else np.arange(len(h))  # stable: by hash within a class
     place = np.arange(len(h)) - np.repeat(edge[:-1], size)
     token, rare = h[order], ~frequent[order]
@@ -166,21 +170,21 @@ def signatures(edge: np.ndarray, h: np.ndarray, frequent: np.ndarray, percent: i
         rows.append(np.full(len(made), r))
         sigs.append(made)
         heavy.append(np.ones(len(made), bool))
-    return np.concatenate(rows), np.concatenate(sigs), np.concatenate(heavy)
+    return np.concatenate(rows), np.concatenate(sigs), np.concatenate(heavy), least
 
 
 _POSTING = ", ".join(["sig long, set_id long, n int, least int", *(f"{m} long" for m in MAPS), "heavy boolean"])
 
 
 def parity_maps(edge: np.ndarray, h: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """For each of ``rows`` eight words of bits: whether an odd number of its tokens fall on the place."""
+    """For each of ``rows`` words of bits: whether an odd number of its tokens fall on the place."""
     size = np.diff(edge)
     number = np.full(len(size), -1)
     number[rows] = np.arange(len(rows))
     own = np.repeat(number, size)
-    place = (mix(h + np.uint64(0x2545F4914F6CDD1D)) >> np.uint64(55)).astype(np.int64)
-    odd = np.bincount((own * 512 + place)[own >= 0], minlength=512 * len(rows)) & 1
-    return np.packbits(odd.astype(bool).reshape(len(rows), 512), axis=1).view(np.int64)
+    place = (mix(h + np.uint64(0x2545F4914F6CDD1D)) >> np.uint64(54)).astype(np.int64)
+    odd = np.bincount((own * 1024 + place)[own >= 0], minlength=1024 * len(rows)) & 1
+    return np.packbits(odd.astype(bool).reshape(len(rows), 1024), axis=1).view(np.int64)
 
 
 def _postings(docs: DataFrame, n: int, percent: int, heads: np.ndarray, drop: int) -> DataFrame:
@@ -204,9 +208,8 @@ def _postings(docs: DataFrame, n: int, percent: int, heads: np.ndarray, drop: in
             flag = np.zeros(len(h), dtype=bool)
             if len(frequent):
                 flag = frequent[np.minimum(np.searchsorted(frequent, head), len(frequent) - 1)] == head
-            row, sig, heavy = signatures(edge, h, flag, percent)
+            row, sig, heavy, least = signatures(edge, h, flag, percent)
             # the shared signatures of a set without pairs are all in the light buckets
-            least = shared_least(size, percent)[1]
             paired = np.unique(row[heavy])
             least[paired] = 0
             maps = np.zeros((len(size), len(MAPS)), dtype=np.int64)
@@ -241,24 +244,49 @@ def _maps_fit(percent: int):
     return differ * (100 + percent) <= (F.col("a_n") + F.col("b_n")) * (100 - percent)
 
 
-def _verify(docs: DataFrame, sets: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose sets are similar."""
+def _tokens_of(docs: DataFrame, sets: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+    """set_id and tokens of the sets in ``wanted`` (set_id), each from one of its rows."""
     spark = docs.sparkSession
-    wanted = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
-    picks = stored(sets.join(wanted, "set_id").groupBy("set_id").agg(F.min("doc_id").alias("doc_id")), "picks")
+    picks = stored(
+        sets.join(wanted, "set_id").groupBy("set_id").agg(F.min(F.coalesce("doc_id", F.lit(0))).alias("pick")), "picks"
+    )
+    # one bit for each picked row, in a bitmap of fixed size, spares moving the other rows' tokens
+    bit = F.shiftrightunsigned(F.col("set_id").bitwiseXOR(F.shiftleft("pick", 64 - _SIEVE_BITS)), 64 - _SIEVE_BITS)
+    rows = (
+        picks.select(bit.alias("bit"))
+        .groupBy(F.expr("bitmap_bucket_number(bit)").alias("bucket"))
+        .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(bit))").alias("bits"))
+        .collect()
+    )
+    sieve = np.zeros((1 << _SIEVE_BITS) // 8 + 4096, dtype=np.uint8)
+    for r in rows:  # value v is bit v - 1; bucket k from 1 on has 32768 bits, and bucket 0 just value 0
+        low = 4096 * (r.bucket - 1) if r.bucket else 0
+        sieve[low : low + 4096] |= np.frombuffer(bytes(r.bits), np.uint8)
+    sent = spark.sparkContext.broadcast(sieve)
 
     def run(batches):
         for part, edge, h, ids in _tokens(batches, n):
-            lists = pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), pa.array(h.view(np.int64)))
+            pick = np.asarray(part.column("doc_id").fill_null(0)).astype(np.int64)
+            drop = np.uint64(64 - _SIEVE_BITS)
+            bit = ((ids.view(np.uint64) ^ (pick.view(np.uint64) << drop)) >> drop).astype(np.int64)
+            size = np.diff(edge)
+            keep = _bit_is_set(sent.value, np.maximum(bit - 1, 0)) & (size > 0)
+            edges = np.concatenate([[0], np.cumsum(size[keep])]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(edges), pa.array(h[np.repeat(keep, size)].view(np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [part.column("_pick"), pa.array(ids), lists], names=["pick", "set_id", "tokens"]
+                [pa.array(pick[keep]), pa.array(ids[keep]), lists], names=["pick", "set_id", "tokens"]
             )
 
-    chosen = picks.select(F.col("doc_id").alias("_pick"), F.col("set_id").alias("_set"))
-    near = docs.select("doc_id", "text").join(chosen.select("_pick").distinct(), F.expr("doc_id <=> _pick"))
-    held = near.mapInArrow(run, "pick long, set_id long, tokens array<long>")
-    held = held.join(chosen, (held.set_id == chosen["_set"]) & held.pick.eqNullSafe(chosen["_pick"]), "left_semi")
-    held = stored(held.groupBy("set_id").agg(F.first("tokens").alias("tokens")), "tokens")
+    held = docs.mapInArrow(run, "pick long, set_id long, tokens array<long>").join(picks, ["set_id", "pick"], "left_semi")
+    return stored(held.groupBy("set_id").agg(F.first("tokens").alias("tokens")), "tokens")
+
+
+def _bit_is_set(bits: np.ndarray, place: np.ndarray) -> np.ndarray:
+    return (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+
+
+def _verify(held: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose sets, in ``held``, are similar."""
     left = held.select(F.col("set_id").alias("a"), F.col("tokens").alias("a_tokens"))
     right = held.select(F.col("set_id").alias("b"), F.col("tokens").alias("b_tokens"))
     both = F.size(F.array_intersect("a_tokens", "b_tokens"))
@@ -298,7 +326,9 @@ def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFr
             .distinct(),
             "light",
         )
-        heavy = stored(postings.where("heavy").select("sig", "set_id", "n", *MAPS).dropDuplicates(["sig", "set_id"]), "heavy")
+        heavy = postings.where("heavy").select("sig", "set_id", "n", *MAPS).dropDuplicates(["sig", "set_id"])
+        shared = heavy.groupBy("sig").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high")).where("low < high")
+        heavy = stored(heavy.join(shared.select("sig"), "sig", "left_semi"), "heavy")
     finally:
         remove(spark, path)
 
@@ -318,32 +348,37 @@ def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFr
             )
         )
     )
-    whole = F.struct("set_id", "n", *MAPS)
-    ends = heavy.groupBy("sig").agg(F.min(whole).alias("low"), F.max(whole).alias("high"))
-    ends = ends.where("low.set_id < high.set_id").select("sig", F.explode(F.array("low", "high")).alias("e"))
-    star = side(heavy, "a", *_named_maps("a")).join(
-        ends.select("sig", F.col("e.set_id").alias("b"), F.col("e.n").alias("b_n"), *_named_maps("b", "e.")), "sig"
-    )
-    star = star.where((F.col("a") != F.col("b")) & _sizes_fit(percent) & _maps_fit(percent))
-    star = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    first = stored(within.select("a", "b").union(star).distinct(), "pairs")
-    links = _verify(docs, sets, first, n, percent)
+    pairs = stored(within.select("a", "b"), "pairs")
+    wanted = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).union(heavy.select("set_id")).distinct()
+    held = _tokens_of(docs, sets, wanted, n)
+    links = _verify(held, pairs, percent)
     comps = components(links)
-    if not heavy.isEmpty():
+    apart = heavy
+    for turn in range(STARS + 1):
         known = comps.select(F.col("node").alias("set_id"), "comp")
-        placed = heavy.join(known, "set_id", "left").withColumn("comp", F.coalesce("comp", "set_id"))
+        placed = apart.drop("comp").join(known, "set_id", "left").withColumn("comp", F.coalesce("comp", "set_id"))
         mixed = placed.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
-        placed = stored(placed.join(mixed.select("sig"), "sig", "left_semi"), "mixed")
-        if not placed.isEmpty():
-            apart = side(placed, "a", F.col("comp").alias("a_comp"), *_named_maps("a")).join(
-                side(placed, "b", F.col("comp").alias("b_comp"), *_named_maps("b")), "sig"
-            )
-            apart = apart.where((F.col("a_comp") < F.col("b_comp")) & _sizes_fit(percent) & _maps_fit(percent))
-            apart = apart.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-            second = stored(apart.join(first, ["a", "b"], "left_anti"), "pairs")
-            if not second.isEmpty():
-                links = links.union(_verify(docs, sets, second, n, percent))
-                comps = components(links)
+        apart = stored(placed.join(mixed.select("sig"), "sig", "left_semi"), "apart")
+        if apart.isEmpty():
+            break
+        if turn < STARS:
+            whole = F.struct(F.xxhash64("set_id", F.lit(turn)).alias("h"), "set_id", "n", "comp", *MAPS)
+            ends = apart.groupBy("sig").agg(F.min(whole).alias("low"), F.max(whole).alias("high"))
+            ends = ends.select("sig", F.explode(F.array("low", "high")).alias("e")).select("sig", "e.*")
+        else:
+            ends = apart
+        met = side(apart, "a", F.col("comp").alias("a_comp"), *_named_maps("a")).join(
+            side(ends, "b", F.col("comp").alias("b_comp"), *_named_maps("b")), "sig"
+        )
+        order = F.col("a_comp") != F.col("b_comp") if turn < STARS else F.col("a_comp") < F.col("b_comp")
+        met = met.where(order & _sizes_fit(percent) & _maps_fit(percent))
+        met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        fresh = stored(met.join(pairs, ["a", "b"], "left_anti"), "pairs")
+        pairs = pairs.union(fresh)
+        more = _verify(held, fresh, percent)
+        if not more.isEmpty():
+            links = links.union(more)
+            comps = components(links)
     return _named(sets, comps)
 
 
