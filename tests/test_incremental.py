@@ -150,3 +150,24 @@ def test_mart_is_rebuilt_when_it_is_gone(spark, tmp_path):
     other = I.Layout(source, root, DAY1)
     paths.remove(spark, other.mart("doctor"))
     assert I.silver_to_gold(spark, other) == 1
+
+
+def test_files_of_different_headers_are_united_by_name(spark, tmp_path):
+    from visitmart import schema as S
+    from visitmart.sources.files import header_groups, read_visits_csv
+    from visitmart.streaming import incremental as I
+
+    base = S.SOURCE_COLUMNS
+    first = {c: "1" for c in base} | {"gender": "Female", "age": "52", "unittype": "Neuro, ICU", "uniquepid": "002-7053"}
+    second = {c: "2" for c in base} | {"gender": "Male", "age": "33", "uniquepid": "002-1"}
+    source = tmp_path / "source"
+    source.mkdir()
+    quoted = lambda row, names: ",".join(f'"{row[c]}"' for c in names)
+    (source / "a.csv").write_text(",".join(base) + "\n" + quoted(first, base) + "\n")
+    (source / "b.csv").write_text(",".join(base[::-1]) + "\n" + quoted(second, base[::-1]) + "\n")
+    assert len(header_groups(spark, str(source))) == 2
+    rows = {r.gender: r for r in read_visits_csv(spark, str(source)).collect()}
+    assert rows["Female"].age == "52" and rows["Male"].age == "33" and rows["Female"].unittype == "Neuro, ICU"
+    layout = I.Layout(str(source), str(tmp_path / "root"), "2024-03-01T06:00:00+00:00", max_files=1)
+    assert I.run_all(spark, layout) == {"bronze": 2, "silver": 2, "gold": 2, "final": 2}
+    assert I.run_all(spark, layout)["bronze"] == 2

@@ -81,3 +81,30 @@ def test_text_columns_with_too_many_values_are_named(rows):
     with pytest.raises(ValueError, match=r"gender \(6\)"):
         T.check_categories(rows, ["gender", "insurance_provider"], limit=5)
     T.check_categories(rows, ["gender", "insurance_provider"], limit=6)
+
+
+def test_a_missing_label_is_a_class_of_its_own(spark):
+    from collections import Counter
+
+    from visitmart.operators.evaluation import stratified_split
+
+    rows = [(i, None if i < 50 else i % 2) for i in range(150)]
+    df = spark.createDataFrame(rows, "id long, y int")
+    parts = stratified_split(df, "y", "id", {"train": 60, "validation": 20, "test": 20})
+    got = Counter((r.y, r.part) for r in parts.collect())
+    assert got == Counter({(y, p): n for y in (None, 0, 1) for p, n in (("train", 30), ("validation", 10), ("test", 10))})
+
+
+def test_preprocessing_is_exact_and_the_dashboard_leaves_numbers_unscaled(spark):
+    from visitmart.operators import training as T
+
+    rows = [(float(v), c) for v, c in zip([1, 2, 3, 4, 100, 7], ["a", "b", "a", None, "it's", "a"])] + [(None, "b")]
+    df = spark.createDataFrame(rows, "x double, c string")
+    columns = T.Columns(["x"], ["c"])
+    assert T.medians(df, ["x"]) == {"x": 3.5}
+    plain = T.preprocessor(df, columns, scale=False).transform(df)
+    assert {r["x"]: r[T.FEATURES][0] for r in plain.collect()}[None] == 3.5
+    assert [r[T.FEATURES][0] for r in plain.where("x = 100").collect()] == [100.0]
+    scaled = T.preprocessor(df, columns).transform(df).collect()
+    assert abs(sum(r[T.FEATURES][0] for r in scaled)) < 1e-9
+    assert T.feature_names(T.preprocessor(df, columns), columns) == ["x", "c_a", "c_b", "c_it's"]

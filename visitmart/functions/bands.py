@@ -42,8 +42,8 @@ def cut(name: str, bands: Bands) -> Column:
 
 def band_table(spark: SparkSession, bands: Bands, name: str) -> DataFrame:
     """The bands with their order, one row each: a table of fixed size."""
-    rows = list(enumerate(bands.labels))
-    return spark.createDataFrame(rows, f"band_order int, {name} string")
+    rows = ", ".join(f"({place}, '{label}')" for place, label in enumerate(bands.labels))
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS bands(band_order, {name})")
 
 
 def intervention_bucket(name: str) -> Column:

@@ -95,9 +95,10 @@ def stratified_split(
     crossed = pieces.withColumns(holds).where(" OR ".join(holds)).drop("_n", "_upto")
 
     flags = ["_c", "_piece", "_before", "_total", *holds]
-    counts = narrow.join(F.broadcast(crossed), ["_c", "_piece"]).groupBy(*flags, "_h").agg(
-        F.count(F.lit(1)).alias("_n")
-    )
+    held = crossed.withColumnsRenamed({"_c": "_class", "_piece": "_at"})
+    # Rows without a label are a class of their own.
+    inside = narrow["_c"].eqNullSafe(held["_class"]) & (narrow["_piece"] == held["_at"])
+    counts = narrow.join(F.broadcast(held), inside).groupBy(*flags, "_h").agg(F.count(F.lit(1)).alias("_n"))
     walk = Window.partitionBy("_c", "_piece").orderBy("_h").rowsBetween(Window.unboundedPreceding, 0)
     walked = counts.withColumn("_rank", F.col("_before") + F.sum("_n").over(walk))
     limits = walked.groupBy("_c").agg(

@@ -8,7 +8,6 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.base import Estimator
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import (
-    Imputer,
     OneHotEncoder,
     SQLTransformer,
     StandardScaler,
@@ -22,6 +21,7 @@ from pyspark.sql import functions as F
 from visitmart import schema as S
 from visitmart.functions.numbers import round_even, to_float
 from visitmart.operators import evaluation as E
+from visitmart.operators.ordered import exact_quantiles
 from visitmart.operators.shape import numeric_like, spread
 from visitmart.session import materialise
 
@@ -96,39 +96,59 @@ def check_categories(df: DataFrame, columns: list[str], limit: int = MAX_CATEGOR
         raise ValueError(f"text columns with more than {limit} values: {', '.join(sorted(large))}")
 
 
-def preprocessor(df: DataFrame, columns: Columns) -> list[Estimator]:
-    """Median fill and scaling of numbers, most-frequent fill and indicator columns of texts.
+def medians(df: DataFrame, columns: list[str]) -> dict[str, float]:
+    """Exact median of each column that has a value. One row per column is collected."""
+    long = df.select([F.col(name).cast("double").alias(name) for name in columns]).unpivot([], columns, "feature", "value")
+    return {r["feature"]: r["median"] for r in exact_quantiles(long, "value", {"median": 0.5}, ["feature"]).collect()}
 
-    A value not seen in training gives no indicator: the indexer puts it last and the encoder drops the last.
+
+def _fills(values: dict[str, str], columns: list[str]) -> SQLTransformer:
+    fills = ", ".join(f"coalesce(`{name}`, {values[name]}) AS `{name}__filled`" for name in columns)
+    return SQLTransformer(statement=f"SELECT *, {fills} FROM __THIS__")
+
+
+def preprocessor(df: DataFrame, columns: Columns, scale: bool = True) -> PipelineModel:
+    """Fitted on ``df``: median fill and scaling of numbers, most-frequent fill and indicator columns of texts.
+
+    A column without any value is filled with 0. A value not seen in training gives no indicator: the indexer
+    puts it last and the encoder drops the last.
     """
     numeric, categorical = columns.numeric, columns.categorical
     stages: list = []
     parts: list[str] = []
     if numeric:
-        filled = [f"{name}__filled" for name in numeric]
+        middle = medians(df, numeric)
         stages += [
-            Imputer(strategy="median", inputCols=numeric, outputCols=filled),
-            VectorAssembler(inputCols=filled, outputCol="_numbers"),
-            StandardScaler(inputCol="_numbers", outputCol="_scaled", withMean=True, withStd=True),
+            _fills({name: f"{float(middle.get(name) or 0.0)!r}D" for name in numeric}, numeric),
+            VectorAssembler(inputCols=[f"{name}__filled" for name in numeric], outputCol="_numbers"),
         ]
-        parts.append("_scaled")
+        if scale:
+            stages.append(StandardScaler(inputCol="_numbers", outputCol="_scaled", withMean=True, withStd=True))
+        parts.append("_scaled" if scale else "_numbers")
     if categorical:
         check_categories(df, categorical)
         values = {row["feature"]: row["value"] for row in most_frequent(df, categorical).collect()}
-        fills = ", ".join(
-            "coalesce(`{0}`, '{1}') AS `{0}__filled`".format(name, values.get(name, "").replace("'", "\\'"))
-            for name in categorical
-        )
-        filled = [f"{name}__filled" for name in categorical]
+        quoted = {name: "'" + values.get(name, "").replace("\\", "\\\\").replace("'", "\\'") + "'" for name in categorical}
         index = [f"{name}__index" for name in categorical]
         flags = [f"{name}__flags" for name in categorical]
         stages += [
-            SQLTransformer(statement=f"SELECT *, {fills} FROM __THIS__"),
-            StringIndexer(inputCols=filled, outputCols=index, handleInvalid="keep", stringOrderType="alphabetAsc"),
+            _fills(quoted, categorical),
+            StringIndexer(
+                inputCols=[f"{name}__filled" for name in categorical],
+                outputCols=index,
+                handleInvalid="keep",
+                stringOrderType="alphabetAsc",
+            ),
             OneHotEncoder(inputCols=index, outputCols=flags, dropLast=True),
         ]
         parts += flags
-    return [*stages, VectorAssembler(inputCols=parts, outputCol=FEATURES)]
+    return Pipeline(stages=[*stages, VectorAssembler(inputCols=parts, outputCol=FEATURES)]).fit(df)
+
+
+def fit_after(prepared: PipelineModel, classifier: Estimator, df: DataFrame) -> PipelineModel:
+    """The fitted preprocessing followed by ``classifier`` fitted on what it makes of ``df``."""
+    vectors = prepared.transform(df).select(FEATURES, LABEL, WEIGHT)
+    return PipelineModel(stages=[*prepared.stages, classifier.fit(vectors)])
 
 
 def candidates(
@@ -136,13 +156,13 @@ def candidates(
     seed: int = 42,
     forest_trees: int = 600,
     extra_trees: int = 700,
-    max_depth: int = 12,
+    max_depth: int = 30,
     max_iter: int = 5000,
 ) -> dict[str, Estimator]:
     """The three classifiers to choose from, in order of preference on a tie.
 
-    The depth is bounded: a level of a tree is a pass over the data. The last one draws
-    no bootstrap sample and looks at few features per split.
+    The depth is the greatest that Spark grows. The last one draws no bootstrap sample and
+    looks at few features per split.
     """
     common = {"featuresCol": FEATURES, "labelCol": LABEL, "weightCol": WEIGHT}
     trees = {**common, "minInstancesPerNode": 2, "maxDepth": max_depth, "seed": seed}
@@ -157,7 +177,7 @@ def candidates(
     }
 
 
-def probability(model: PipelineModel, df: DataFrame) -> DataFrame:
+def probability(model, df: DataFrame) -> DataFrame:
     """Add ``score``: the probability of the positive class."""
     return model.transform(df).withColumn("score", vector_to_array("probability")[1])
 
@@ -181,13 +201,17 @@ def feature_importance(model: PipelineModel, columns: Columns, spark) -> DataFra
 
 
 def select_model(
-    stages: list[Estimator], train: DataFrame, validation: DataFrame, choices: dict[str, Estimator]
+    prepared: PipelineModel, train: DataFrame, validation: DataFrame, choices: dict[str, Estimator]
 ) -> tuple[str, float, float]:
-    """Name, threshold and F1 of the candidate with the best F1 on the validation rows; the first on a tie."""
+    """Name, threshold and F1 of the candidate with the best F1 on the validation rows; the first on a tie.
+
+    All candidates are fitted on the same vectors, worked out once.
+    """
     best = ("", 0.5, -1.0)
+    vectors = materialise(prepared.transform(train).select(FEATURES, LABEL, WEIGHT))
+    unseen = materialise(prepared.transform(validation).select(FEATURES, LABEL))
     for name, classifier in choices.items():
-        model = Pipeline(stages=[*stages, classifier]).fit(train)
-        scored = probability(model, validation).select("score", F.col(LABEL).alias("label"))
+        scored = probability(classifier.fit(vectors), unseen).select("score", F.col(LABEL).alias("label"))
         found = E.best_threshold(E.score_curve(scored)).first()
         threshold, f1 = (found["threshold"], found["f1"]) if found["f1"] is not None else (0.5, 0.0)
         if f1 > best[2]:
@@ -242,7 +266,9 @@ def train(
     choices = candidates(fitting.count(), seed, **options)
     name, threshold, f1 = select_model(preprocessor(fitting, columns), weighted, validation, choices)
 
-    model = Pipeline(stages=[*preprocessor(both, columns), choices[name]]).fit(E.balanced_weight(both, LABEL, WEIGHT))
+    # The regularisation of the refit follows from its own number of rows.
+    chosen = candidates(both.count(), seed, **options)[name]
+    model = fit_after(preprocessor(both, columns), chosen, E.balanced_weight(both, LABEL, WEIGHT))
     scored = probability(model, test).select("score", F.col(LABEL).alias("label"))
     return Trained(
         name,
@@ -314,8 +340,8 @@ def fit_dashboard_model(df: DataFrame, key: str, seed: int = 42, min_rows: int =
     split = materialise(E.stratified_split(used, LABEL, KEY, {"train": 70, "test": 30}, seed))
     fitting, test = split.where("part = 'train'"), split.where("part = 'test'")
     logistic = candidates(fitting.count(), seed, max_iter=2000)["logistic_regression"]
-    stages = [*preprocessor(split, columns), logistic]
-    model = Pipeline(stages=stages).fit(E.balanced_weight(fitting, LABEL, WEIGHT))
+    # Medians and indicator columns come from all rows, and numbers stay as they are.
+    model = fit_after(preprocessor(split, columns, scale=False), logistic, E.balanced_weight(fitting, LABEL, WEIGHT))
     scored = probability(model, test).select("score", F.col(LABEL).alias("label"))
     importance = feature_importance(model, columns, df.sparkSession)
     return Trained("logistic_regression", model, 0.5, 0.0, test_metrics(scored, 0.5, "logistic_regression", 0.0),

@@ -34,6 +34,9 @@ def _source_csv(frame, path: str, extra: tuple[str, ...] = ()) -> None:
 _TEXT = "patientunitstayid gender age apacheadmissiondx admissionheight unittype admit_day Condition uniquepid".split()
 _BLANKED = ", ".join(f"CASE WHEN {c} NOT IN ('', 'n/a') THEN {c} END AS {c}" for c in _TEXT)
 
+_BASE_TEXT = [c for c in _TEXT if c in S.SOURCE_COLUMNS]
+_BASE_BLANKED = ", ".join(f"CASE WHEN {c} NOT IN ('', 'n/a') THEN {c} END AS {c}" for c in _BASE_TEXT)
+
 
 @query("csv_source", f"WITH {O.RAW} SELECT {_BLANKED}, NULL::VARCHAR AS glucose FROM raw")
 def csv_source(spark, sf_dir):
@@ -218,6 +221,32 @@ def stage_counts(spark, sf_dir):
     return spark.createDataFrame(list(counts.items()), "stage string, rows long")
 
 
+def _two_headers(frame, path: str) -> None:
+    """Source files with the base columns only: those of even visits in contract order, the others' reversed."""
+    base = frame.select([F.col(c).cast("string").alias(c) for c in S.SOURCE_COLUMNS])
+    even = F.col("patientunitstayid").cast("long") % 2 == 0
+    sinks.write_csv(base.where(even), path, "append")
+    sinks.write_csv(base.where(~even).select(base.columns[::-1]), path, "append")
+
+
+@query("csv_mixed_headers", f"WITH {O.RAW} SELECT {_BASE_BLANKED}, NULL::VARCHAR AS los FROM raw")
+def csv_mixed_headers(spark, sf_dir):
+    path = _fresh(spark)
+    _two_headers(I.complete_source(V.visits_raw(spark, sf_dir)), path)
+    return files.read_visits_csv(spark, path).select(*_BASE_TEXT, "los")
+
+
+@query("ingest_base_columns", SQL["stage_counts"])
+def ingest_base_columns(spark, sf_dir):
+    """All stages on files without the optional columns and with two different headers."""
+    tune(spark)
+    root = _fresh(spark)
+    layout = I.Layout(f"{root}/source", root, _FIRST)
+    _two_headers(I.complete_source(V.visits_raw(spark, sf_dir)), layout.source)
+    counts = I.run_all(spark, layout)
+    return spark.createDataFrame(list(counts.items()), "stage string, rows long")
+
+
 @query("stored_hospital_kpi", SQL["hospital_kpi"])
 def stored_hospital_kpi(spark, sf_dir):
     """The KPI mart from Silver as stored, which is how it runs at scale."""

@@ -24,12 +24,36 @@ def blank_missing(df: DataFrame) -> DataFrame:
     return df.selectExpr(*[f"CASE WHEN `{c}` NOT IN ({listed}) THEN `{c}` END AS `{c}`" for c in df.columns])
 
 
-def read_visits_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """Visit rows with a header line, every column text. Columns of ``schema`` the file lacks are added."""
-    if not exists(spark, path):
-        raise FileNotFoundError(f"source CSV not found: {path}")
-    rows = spark.read.option("header", True).option("escape", '"').csv(path)
-    return ensure_columns(blank_missing(rows), schema or S.source_schema())
+def header_groups(spark: SparkSession, paths: str | list[str]) -> list[list[str]]:
+    """The files below ``paths``, those with the same header line together. One short row per file is collected."""
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("place"), "value"
+    )
+    # A file's first line is the first one of its first block.
+    starts = lines.where(F.input_file_block_start() == 0).groupBy("path").agg(F.min_by("value", "place").alias("header"))
+    groups: dict[str, list[str]] = {}
+    for row in starts.orderBy("path").collect():
+        groups.setdefault(row["header"], []).append(row["path"])
+    return list(groups.values())
+
+
+def read_visits_csv(spark: SparkSession, path: str | list[str], schema: StructType | None = None) -> DataFrame:
+    """Visit rows of CSV files with a header line each, every column text.
+
+    Files may have different headers: columns are matched by name, and columns of ``schema`` that a file lacks are added.
+    """
+    for one in [path] if isinstance(path, str) else path:
+        if not exists(spark, one):
+            raise FileNotFoundError(f"source CSV not found: {one}")
+    wanted = schema or S.source_schema()
+    reader = spark.read.option("header", True).option("escape", '"')
+    groups = [blank_missing(reader.csv(files)) for files in header_groups(spark, path)]
+    if not groups:
+        return spark.createDataFrame([], wanted)
+    rows = groups[0]
+    for more in groups[1:]:
+        rows = rows.unionByName(more, allowMissingColumns=True)
+    return ensure_columns(rows, wanted)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: StructType, form: str = "parquet") -> DataFrame:

@@ -19,7 +19,7 @@ from visitmart.operators.quality import quality_report
 from visitmart.operators.shape import ensure_columns, rows_after, upsert
 from visitmart.operators.silver import latest_silver, to_silver
 from visitmart.sources import sinks
-from visitmart.sources.files import blank_missing, read_silver, read_silver_tables, read_table, read_visits_csv
+from visitmart.sources.files import read_silver, read_silver_tables, read_table, read_visits_csv
 from visitmart.sources.paths import has_files
 
 # Raw rows of one hash differ in their content only, so the JSON copy makes the order total.
@@ -75,33 +75,43 @@ def adaptive(batch: DataFrame) -> None:
     batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+def write_bronze_batch(batch: DataFrame, number: int, layout: Layout) -> None:
+    """Wrap the rows of one batch of source files, at most ``max_files`` paths."""
+    adaptive(batch)
+    paths = [row["path"] for row in batch.select("path").collect()]
+    if not paths:
+        return
+    columns = S.SOURCE_COLUMNS + S.OPTIONAL_COLUMNS + list(layout.extra)
+    source = read_visits_csv(batch.sparkSession, paths, S.text_schema(columns)).select(columns)
+    rows = sinks.to_raw_envelope(source, layout.stream, layout.now)
+    day, hour = layout.now[:10], layout.now[11:13]
+    (
+        rows.write.option("maxRecordsPerFile", layout.max_rows)
+        .mode("overwrite")
+        .parquet(f"{layout.bronze}/load_date={day}/load_hour={hour}/batch={number:06d}")
+    )
+
+
 def sync_new_files(spark: SparkSession, layout: Layout) -> int:
     """Wrap the rows of new source CSV files and append them to Bronze. Returns the rows in Bronze.
 
-    The files' header must list the columns in contract order. The file sink commits
-    a batch once: a repeated batch adds nothing.
+    Files may have any header that holds contract columns, each its own: columns are matched by name and absent
+    ones added as missing. A batch has a folder of its own, so a repeated batch adds nothing.
     """
-    columns = S.SOURCE_COLUMNS + S.OPTIONAL_COLUMNS + list(layout.extra)
-    source = (
-        spark.readStream.schema(S.text_schema(columns))
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("escape", '"')
-        .option("maxFilesPerTrigger", layout.max_files)
-        .csv(layout.source)
-    )
-    rows = sinks.to_raw_envelope(blank_missing(source), layout.stream, layout.now)
     query = (
-        sinks.with_load_partitions(rows, layout.now)
-        .writeStream.format("parquet")
-        .partitionBy("load_date", "load_hour")
-        .option("maxRecordsPerFile", layout.max_rows)
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
+        .option("pathGlobFilter", "*.csv")
+        .option("maxFilesPerTrigger", layout.max_files)
+        .load(layout.source)
+        .select("path")  # the content is not read here
+        .writeStream.foreachBatch(lambda batch, number: write_bronze_batch(batch, number, layout))
         .option("checkpointLocation", layout.checkpoint("bronze"))
         .trigger(availableNow=True)
-        .start(layout.bronze)
+        .start()
     )
     query.awaitTermination()
-    return spark.read.parquet(layout.bronze).count() if has_files(spark, layout.bronze) else 0
+    return read_table(spark, layout.bronze).count() if has_files(spark, layout.bronze) else 0
 
 
 def sync_rows_after(spark: SparkSession, layout: Layout, order: str) -> int:
