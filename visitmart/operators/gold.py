@@ -19,18 +19,23 @@ def assemble(tables: dict[str, DataFrame], order: list[str] | None = None) -> Da
     """The core table with the new columns of each part, matched on ``record_hash``.
 
     With ``order`` every table is first reduced to its last row per hash; the
-    join then reuses that partitioning, one shuffle per table in all.
+    join then reuses that partitioning, one shuffle per table in all. The columns of ``order`` should
+    be total within a hash and stand in all tables, so that all keep the same source row.
     """
+
+    def last(table: DataFrame) -> DataFrame:
+        return dedup_last(table, ["record_hash"], [name for name in order if name in table.columns])
+
     core = tables.get("visits_core")
     if core is None:
         return None
-    out = core if order is None else dedup_last(core, ["record_hash"], order)
+    out = core if order is None else last(core)
     for name in PARTS:
         part = tables.get(name)
         if part is None or "record_hash" not in part.columns:
             continue
         if order is not None:
-            part = dedup_last(part, ["record_hash"], order)
+            part = last(part)
         known = set(out.columns)
         fresh = [column for column in part.columns if column not in known]
         out = out.join(part.select("record_hash", *fresh), "record_hash", "left")

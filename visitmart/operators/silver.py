@@ -178,11 +178,17 @@ def latest_silver(df: DataFrame, processed_at: str, order: list[str]) -> DataFra
     return to_silver(dedup_last(with_record_hash(df), ["record_hash"], order), processed_at)
 
 
-def split_silver(df: DataFrame, order: list[str] | None = None) -> dict[str, DataFrame]:
+def split_silver(
+    df: DataFrame, order: list[str] | None = None, carried: list[str] | None = None
+) -> dict[str, DataFrame]:
     """The four tables of the wide frame. With ``order`` each keeps one row per record hash.
 
     The winner of a hash is the same row in all four, so the wide frame is
-    deduplicated, not each table.
+    deduplicated, not each table. ``carried`` columns go into all four, so that a later
+    choice between stored rows of one hash is the same in each.
     """
     wide = df if order is None else dedup_last(df, ["record_hash"], order)
-    return {table: pick(wide, columns) for table, columns in S.SILVER_TABLES.items()}
+    return {
+        table: pick(wide, [*columns, *[c for c in carried or [] if c not in columns]])
+        for table, columns in S.SILVER_TABLES.items()
+    }

@@ -229,6 +229,28 @@ def _two_headers(frame, path: str) -> None:
     sinks.write_csv(base.where(~even).select(base.columns[::-1]), path, "append")
 
 
+@query(
+    "incremental_small_batches",
+    f"""WITH {O.RAW}, kept AS (SELECT DISTINCT patientunitstayid, patienthealthsystemstayid, hospitalid, wardid, uniquepid FROM raw)
+    SELECT count(*) AS visits, 0::BIGINT AS different FROM kept""",
+)
+def incremental_small_batches(spark, sf_dir):
+    """The visit mart after batches of one file each, and its rows that one batch of all files gives otherwise."""
+    tune(spark)
+    root = _fresh(spark)
+    source = f"{root}/source"
+    _source_csv(V.visits_raw(spark, sf_dir).repartition(3), source)
+    marts = []
+    for name, most in (("whole", 1000), ("steps", 1)):
+        layout = I.Layout(source, f"{root}/{name}", _FIRST, max_files=most)
+        I.sync_new_files(spark, layout)
+        I.bronze_to_silver(spark, layout)
+        I.silver_to_gold(spark, layout)
+        marts.append(sinks.read_mart(spark, layout.mart("doctor")))
+    different = marts[0].exceptAll(marts[1]).union(marts[1].exceptAll(marts[0])).count()
+    return marts[1].agg(F.count(F.lit(1)).alias("visits"), F.lit(different).cast("long").alias("different"))
+
+
 @query("csv_mixed_headers", f"WITH {O.RAW} SELECT {_BASE_BLANKED}, NULL::VARCHAR AS los FROM raw")
 def csv_mixed_headers(spark, sf_dir):
     path = _fresh(spark)

@@ -53,7 +53,12 @@ def write_silver(tables: dict[str, DataFrame], root: str, process_date: str, bat
 
 
 def write_wide_silver(
-    wide: DataFrame, root: str, process_date: str, batch: int | None = None, rows_per_file: int = 250_000
+    wide: DataFrame,
+    root: str,
+    process_date: str,
+    batch: int | None = None,
+    rows_per_file: int = 250_000,
+    carried: list[str] | None = None,
 ) -> None:
     """Split wide rows into the four tables and write them, working the rows out once for all four.
 
@@ -64,7 +69,7 @@ def write_wide_silver(
     try:
         wanted = max(1, -(-kept.count() // rows_per_file))
         fewer = kept.coalesce(wanted) if wanted < kept.rdd.getNumPartitions() else kept
-        write_silver(split_silver(fewer), root, process_date, batch)
+        write_silver(split_silver(fewer, carried=carried), root, process_date, batch)
     finally:
         kept.unpersist()
 

@@ -22,8 +22,9 @@ from visitmart.sources import sinks
 from visitmart.sources.files import read_silver, read_silver_tables, read_table, read_visits_csv
 from visitmart.sources.paths import has_files
 
-# Raw rows of one hash differ in their content only, so the JSON copy makes the order total.
-BRONZE_ORDER = ["_airbyte_emitted_at", "_airbyte_data"]
+# Raw rows of one hash differ in their content only, so its digest makes the order total.
+CONTENT = "_content"
+BRONZE_ORDER = ["_airbyte_emitted_at", CONTENT]
 
 
 @dataclass(frozen=True)
@@ -44,6 +45,11 @@ class Layout:
     extra: tuple[str, ...] = ()
     required: tuple[str, ...] = tuple(S.QUALITY_COLUMNS)
 
+    @property
+    def silver_order(self) -> list[str]:
+        """Order among stored Silver rows of one hash: total, so batch sizes do not matter."""
+        return ["processed_at_utc", *self.order]
+
     @property
     def bronze(self) -> str:
         return f"{self.root}/bronze/{self.stream}"
@@ -138,8 +144,8 @@ def write_silver_batch(batch: DataFrame, number: int, layout: Layout) -> None:
     adaptive(batch)
     report = quality_report(to_silver(batch, layout.now), list(layout.required))
     sinks.write_report(report, f"{layout.quality}/batch={number:06d}")
-    latest = latest_silver(batch, layout.now, list(layout.order))
-    sinks.write_wide_silver(latest, layout.silver, layout.now[:10], number)
+    latest = latest_silver(batch.withColumn(CONTENT, F.sha2("_airbyte_data", 256)), layout.now, list(layout.order))
+    sinks.write_wide_silver(latest, layout.silver, layout.now[:10], number, carried=list(layout.order))
 
 
 def bronze_to_silver(spark: SparkSession, layout: Layout) -> int:
@@ -183,7 +189,7 @@ def merge_touched(batch: DataFrame, layout: Layout) -> None:
         name: table.join(touched, "record_hash", "left_semi")
         for name, table in read_silver_tables(spark, layout.silver).items()
     }
-    silver = assemble(tables, ["processed_at_utc"])
+    silver = assemble(tables, layout.silver_order)
     if silver is None:
         return
     incoming = doctor_mart(silver)
@@ -209,7 +215,7 @@ def silver_to_gold(spark: SparkSession, layout: Layout) -> int:
     query.awaitTermination()
     mart = sinks.read_mart(spark, layout.mart("doctor"))
     if mart is None:
-        silver = read_silver(spark, layout.silver)
+        silver = read_silver(spark, layout.silver, layout.silver_order)
         if silver is None:
             return 0
         write_marts(doctor_mart(silver), layout)
@@ -219,7 +225,7 @@ def silver_to_gold(spark: SparkSession, layout: Layout) -> int:
 
 def export_final(spark: SparkSession, layout: Layout) -> int:
     """Model dataset and both summaries as CSV. The summaries read the dataset as stored."""
-    silver = read_silver(spark, layout.silver)
+    silver = read_silver(spark, layout.silver, layout.silver_order)
     if silver is None:
         return 0
     stored = f"{layout.final('model_dataset')}_parquet"
