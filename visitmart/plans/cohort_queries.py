@@ -225,7 +225,6 @@ def rate_by_chronic(spark, sf_dir):
     return rounded(C.rate_by_chronic(V.cohort(spark, sf_dir)))
 
 
-_MISSING = ["admit_day", "age_band", "admit_month", "gender", "los", "LACE_Score", "unittype", "Condition", "glucose"]
 
 
 @query(
@@ -233,27 +232,26 @@ _MISSING = ["admit_day", "age_band", "admit_month", "gender", "los", "LACE_Score
     O.COHORT
     + " SELECT feature, "
     + O.r("pct")
-    + " AS missing_pct FROM ("
-    + " UNION ALL ".join(
-        f"SELECT '{c}' AS feature, avg(({c} IS NULL)::INTEGER)*100e0 AS pct FROM cohort" for c in _MISSING
-    )
-    + ") ORDER BY pct DESC, feature LIMIT 30",
+    + """ AS missing_pct FROM (UNPIVOT (SELECT avg((COLUMNS(*) IS NULL)::INTEGER)*100e0 AS "\\0" FROM cohort)
+    ON COLUMNS(*) INTO NAME feature VALUE pct) ORDER BY pct DESC, feature LIMIT 30""",
 )
 def missing_pct(spark, sf_dir):
-    return rounded(Q.missing_pct(V.cohort(spark, sf_dir).select(*_MISSING)))
+    return rounded(Q.missing_pct(V.cohort(spark, sf_dir)))
 
 
 @query(
     "completeness_by_month",
     O.TO_HASH
     + ", m AS (SELECT *, date_trunc('month', admit_day)::TIMESTAMP AS admit_month FROM hashed) SELECT admit_month, "
-    + O.r("(avg((LACE_Score IS NOT NULL)::INTEGER) + avg((los IS NOT NULL)::INTEGER)) / 2e0 * 100e0")
+    # the source has two of the seven features; the others are missing in every row
+    + O.r("(avg((LACE_Score IS NOT NULL)::INTEGER) + avg((los IS NOT NULL)::INTEGER)) / 7e0 * 100e0")
     + " AS completeness_pct FROM m GROUP BY admit_month",
 )
 def completeness_by_month(spark, sf_dir):
     from visitmart.operators.silver import clean
+    from visitmart.streaming.incremental import complete_source
 
-    cleaned = clean(V.visits_raw(spark, sf_dir), V.PROCESSED_AT).select("admit_day", "LACE_Score", "los")
+    cleaned = clean(complete_source(V.visits_raw(spark, sf_dir)), V.PROCESSED_AT).select("admit_day", *S.KEY_FEATURES)
     return rounded(Q.completeness_by_month(C.with_admit_month(cleaned)))
 
 
