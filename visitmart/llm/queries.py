@@ -17,6 +17,43 @@ def query(build):
     return build
 
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: Sets of word runs, all pairs that share one, and everything reachable over links.
+SQL["op3_ngram_jaccard"] = f"""WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array({_LOWER}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, chr(31))]
+  ELSE list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i+3], chr(31)))) END AS s FROM w),
+runs AS (SELECT doc_id, len(s) AS n, unnest(s) AS run FROM sets),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS an, any_value(b.n) AS bn, count(*) AS shared
+  FROM runs a JOIN runs b ON a.run = b.run AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM pairs WHERE 100 * shared >= 85 * (an + bn - shared)),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, least(s.doc_id, coalesce(m.low, s.doc_id)) AS component_id
+FROM sets s LEFT JOIN (SELECT a, min(b) AS low FROM reach GROUP BY a) m ON m.a = s.doc_id"""
+
+
+def _spans_sql(rule: secrets.Rule, number: int) -> str:
+    pattern = rule.pattern.replace("'", "''").replace("{16,}+", "{16,}")
+    return f"""SELECT doc_id, '{rule.kind}' AS kind, {number} AS place, {rule.least} AS least,
+      regexp_extract_all(t, '{pattern}', 0) AS hits, regexp_extract_all(t, '{pattern}', {rule.group}) AS parts,
+      regexp_split_to_array(t, '{pattern}') AS gaps FROM d"""
+
+
+#: The patterns' spans from the texts between matches and the matches themselves.
+SQL["op5_secrets"] = f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+found AS ({' UNION ALL '.join(_spans_sql(r, i) for i, r in enumerate(secrets.RULES))}),
+each AS (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM found),
+spans AS (SELECT doc_id, kind, place,
+  (list_sum(list_transform(gaps[1:i], lambda g: length(g))) + coalesce(list_sum(list_transform(hits[1:i-1], lambda h: length(h))), 0))::BIGINT AS s,
+  length(hits[i]) AS n FROM each WHERE length(parts[i]) >= least),
+report AS (SELECT d.doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+  count(*) FILTER (kind = 'hex') AS n_hex,
+  coalesce(string_agg(kind || ':' || s || ':' || (s + n), ',' ORDER BY s, place), '') AS spans
+  FROM d LEFT JOIN spans USING (doc_id) GROUP BY d.doc_id)
+SELECT doc_id, n_assign, n_access, n_hex, sha256(spans) AS base_sha256, spans FROM report"""
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return importable(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
