@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from visitmart.session import materialise
 
-PIECES = 256
+PIECES = 256  # at least
+VALUES_PER_PIECE = 100_000
 
 
 def _with_piece(df: DataFrame, value: str, pieces: int) -> DataFrame:
@@ -33,15 +34,19 @@ def running_totals(
     sums: list[str],
     by: list[str] | None = None,
     descending: bool = False,
-    pieces: int = PIECES,
+    pieces: int | None = None,
 ) -> DataFrame:
     """Add, for each column ``c`` of ``sums``, ``c_upto`` (running total) and ``c_total`` (its end).
 
     ``distinct`` has one row per (by, value), and ``by`` few values. It is written
-    once to the shared folder: the bounds, the totals and the sums read it.
+    once to the shared folder: the bounds, the totals and the sums read it. The number of pieces
+    follows from the number of distinct values, unless it is given.
     """
     by = by or []
-    numbered = _with_piece(materialise(distinct), value, pieces)
+    kept = materialise(distinct)
+    if pieces is None:
+        pieces = max(PIECES, -(-kept.count() // VALUES_PER_PIECE))
+    numbered = _with_piece(kept, value, pieces)
 
     def ordered(name: str) -> Column:
         return F.col(name).desc() if descending else F.col(name).asc()

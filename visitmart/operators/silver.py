@@ -88,6 +88,7 @@ LAB_AND_COST_RULES = {
     "care_plan_costs": ("180D + CAST(chronic_conditions AS DOUBLE) * 95D + _u3 * 220D", 2),
 }
 
+# The rules for insurance, care plan, stay, risk index, chance of return and body mass.
 INSURANCE = """CASE WHEN _u1 < 0.03D THEN 'Self-pay' WHEN _age < 30 AND _u1 < 0.4D THEN 'Medicaid'
     WHEN _age >= 65 THEN 'Medicare' ELSE 'Commercial' END"""
 

@@ -107,6 +107,7 @@ dementia drugabuse mooddisorder tobacco_user cost_of_initial_stay care_plan_cost
 readmitted_under_30_days days_until_readmission
 """.split()
 
+# Fixed values.
 MODEL_TEXT_DEFAULTS = {
     "gender": "unknown",
     "ethnicity": "unknown",
@@ -127,6 +128,7 @@ LEAKAGE_COLUMNS = [TARGET, "readmitted", "days_until_readmission", "processed_at
 ID_COLUMNS = "patientunitstayid uniquepid hospitalid wardid".split()
 UNIQUE_ID_COLUMNS = "patientunitstayid uniquepid".split()
 
+# The dashboard model's columns, segments, lab values and key features.
 DASHBOARD_NUMERIC = """
 age los LACE_Score glucose creatinine wbc hemoglobin chronic_conditions ed_visits ip_visits bp_systolic bp_diastolic
 """.split()

@@ -11,6 +11,7 @@ from visitmart.operators.shape import validate_key
 from visitmart.operators.silver import split_silver
 from visitmart.sources.paths import children, exists, remove
 
+# Fixed value: the names a table may have.
 IDENTIFIER = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
 
@@ -147,6 +148,7 @@ def publish_table(
     )
 
 
+# The published marts and their keys.
 MART_KEYS = {
     "doctor_patient_risk_mart": ["record_hash"],
     "admin_hospital_kpi_mart": ["as_of_date", "hospitalid"],
