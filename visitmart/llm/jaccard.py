@@ -34,7 +34,7 @@ FREQUENT = 24
 MOST_FREQUENT = 2_000_000
 #: Below this size frequent tokens are indexed singly.
 SMALL = 64
-_FLUSH = 2_000_000
+_FLUSH = 1_000_000
 _SIEVE_BITS = 24
 MAPS = [f"m{k}" for k in range(16)]  # a parity bitmap of 1024 places
 STARS = 3  # rounds of comparing buckets with two of their sets
@@ -314,7 +314,7 @@ def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFr
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0
     heads, drop = frequent_tokens(docs, n, total, FREQUENT, MOST_FREQUENT)
     path = folder(spark, "postings")
-    _postings(docs, n, percent, heads, drop).write.partitionBy("heavy").parquet(path)
+    _postings(docs, n, percent, heads, drop).write.parquet(path)
     try:
         postings = spark.read.schema(_POSTING).parquet(path)
         bucket = W.partitionBy("sig")

@@ -30,9 +30,16 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def importable(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package from the driver's source folder, where it is not installed."""
+    """Set a session up for Python workers on texts.
+
+    Workers can import this package from the driver's source folder, where it is not installed; and Arrow batches
+    hold 1,000 rows at most, unless the user has set a number: the default of 10,000 suits numbers, not long texts.
+    """
     root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     known = environment.get("PYTHONPATH", "")
     if root not in known.split(":"):
         environment["PYTHONPATH"] = f"{root}:{known}" if known else root
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows) == "10000":
+        spark.conf.set(rows, "1000")
     return spark
