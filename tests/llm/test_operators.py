@@ -229,6 +229,18 @@ def test_one_of_each_group_stays(spark, docs, rows, none):
     assert jaccard.jaccard_components(none).count() == 0
 
 
+def test_rows_of_one_id_are_judged_by_their_texts(spark):
+    importable(spark)
+    one, two, three = prose(31, 40), prose(32, 40), prose(33, 40)
+    rows = [(1, one, 0), (5, two, 0), (5, one, 0), (5, three, 0), (5, three, 0), (7, f"{three} ", 0), (None, two, 0)]
+    rows += [(None, "lone text", 0)] * 3 + [(9, None, 0), (9, None, 0), (None, " ", 0)] + [(5, prose(40 + k, 30), k) for k in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, set_id int")
+    want = Counter([(1, one, 0), (5, two, 0), (5, three, 0), (None, "lone text", 0), *rows[10:]])
+    for parts in (1, 5):
+        kept = jaccard.one_of_each_group(df.repartition(parts))
+        assert kept.columns == df.columns and Counter(map(tuple, kept.collect())) == want
+
+
 def test_components_of_a_chain(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 101), (5, 5)]
     got = components(spark.createDataFrame(edges, "a long, b long")).collect()

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from visitmart.llm.components import components
 from visitmart.llm.shared import folder, remove, stored
@@ -37,6 +38,7 @@ SMALL = 64
 _FLUSH = 1_000_000
 _SIEVE_BITS = 24
 MAPS = [f"m{k}" for k in range(16)]  # a parity bitmap of 1024 places
+_SEEN = 100_000  # rows a task remembers
 STARS = 3  # rounds of comparing buckets with two of their sets
 
 
@@ -52,17 +54,19 @@ def _tokens(batches: Iterator[pa.RecordBatch], n: int):
 
 
 def token_sets(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, n_shingles and set_id (null for an empty set) of every row."""
+    """All columns of ``docs`` but ``text``, n_shingles and set_id (null for an empty set) of every row."""
+    names = [c for c in docs.columns if c != "text"]
+    schema = T.StructType([docs.schema[c] for c in names]).add("n_shingles", "long").add("set_id", "long")
 
     def run(batches):
         for part, edge, _, ids in _tokens(batches, n):
             count = np.diff(edge)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(count), pa.array(ids, mask=count == 0)],
-                names=["doc_id", "n_shingles", "set_id"],
+                [*(part.column(c) for c in names), pa.array(count), pa.array(ids, mask=count == 0)],
+                names=[*names, "n_shingles", "set_id"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, set_id long")
+    return docs.mapInArrow(run, schema)
 
 
 def frequent_tokens(docs: DataFrame, n: int, total: int, least: int, most: int) -> tuple[np.ndarray, int]:
@@ -306,11 +310,16 @@ def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFr
     is named by its smallest doc_id. Repeated rows and ids keep a row each. No rows give no rows; further columns are
     not read.
     """
+    return _named(*_sets_and_components(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), n, percent))
+
+
+def _sets_and_components(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """``token_sets`` of ``docs``, and the component (comp) of each linked set (node)."""
     if not 50 <= percent <= 100:
         raise ValueError("percent must be from 50 to 100")
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = stored(token_sets(docs, n), "sets")
+    docs = docs.select("doc_id", "text")
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0
     heads, drop = frequent_tokens(docs, n, total, FREQUENT, MOST_FREQUENT)
     path = folder(spark, "postings")
@@ -379,7 +388,7 @@ def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFr
         if not more.isEmpty():
             links = links.union(more)
             comps = components(links)
-    return _named(sets, comps)
+    return sets, comps
 
 
 def _named(sets: DataFrame, comps: DataFrame) -> DataFrame:
@@ -394,16 +403,65 @@ def _named(sets: DataFrame, comps: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
+def _with_sets(rows: DataFrame, n: int) -> DataFrame:
+    """``rows`` with the set of their text in ``near_set``.
+
+    A row equal in id, set and ``near_row`` to one that its task has just seen is left out. Empty sets, which have
+    no equals, get numbers in ``near_row`` that spread them.
+    """
+    schema = T.StructType([*rows.schema.fields, T.StructField("near_set", T.LongType())])
+
+    def run(batches):
+        seen: set = set()
+        for part, edge, _, ids in _tokens(batches, n):
+            empty = np.diff(edge) == 0
+            digest = np.asarray(part.column("near_row")).copy()
+            digest[empty] = np.arange(len(digest))[empty]
+            keys = list(zip(part.column("doc_id").to_pylist(), ids.tolist(), digest.tolist()))
+            keep = np.ones(len(keys), dtype=bool)
+            for k in np.flatnonzero(~empty):
+                keep[k] = keys[k] not in seen
+                seen.add(keys[k])
+            if len(seen) > _SEEN:
+                seen.clear()
+            columns = dict(zip(part.schema.names, part.columns))
+            columns |= {"near_row": pa.array(digest), "near_set": pa.array(ids, mask=empty)}
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns)).filter(pa.array(keep))
+
+    return rows.mapInArrow(run, schema)
+
+
 def one_of_each_group(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that name their component, all columns unchanged; of rows with one id one stays.
+    """One row of ``docs`` of each component, all columns unchanged.
 
-    Rows without an id cannot be named and stay.
+    Rows are judged by their texts' sets and not by their ids: the row that stays has the component's smallest doc_id (null
+    last), then the smallest set and the smallest hash of all its columns. Of rows equal in all columns one stays. Rows
+    without a set (null, empty and blank texts) have no equals and stay.
     """
-    placed = stored(jaccard_components(docs, n, percent), "placed")
-    lost = placed.where("component_id <> doc_id").select("doc_id").distinct()
-    kept = docs.join(lost, "doc_id", "left_anti")
-    repeated = stored(placed.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
-    if not repeated.isEmpty():
-        once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-        kept = kept.join(repeated, "doc_id", "left_anti").unionByName(once)
-    return kept.select(docs.columns)
+    hashed = [f"`{f.name}`" for f in docs.schema if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
+    rows = docs.withColumn("near_row", F.xxhash64(*hashed))
+    slim = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "near_row")
+    sets, comps = _sets_and_components(slim, n, percent)
+    # equal rows are summed first, so a text that fills a third of the rows is one row here
+    each = sets.where("set_id IS NOT NULL").groupBy("set_id", "doc_id", "near_row").agg(F.count("*").alias("times"))
+    first = F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "set_id", "near_row", "times")).alias("first")
+    own = each.groupBy("set_id").agg(first)
+    placed = own.join(comps.select(F.col("node").alias("set_id"), "comp"), "set_id", "left")
+    best = placed.groupBy(F.coalesce("comp", "set_id").alias("comp")).agg(F.min("first").alias("first"))
+    best = stored(best.select("first.*").withColumn("stays", F.lit(True)), "best")
+    best = best.toDF("b_no_id", "b_doc_id", "b_set", "b_row", "b_times", "b_stays")
+    told = _with_sets(rows, n)
+    # an id of null is compared as 0 beside a flag, so that both sides are dealt by all of the key
+    same = (
+        (F.col("near_set") == F.col("b_set"))
+        & (F.col("near_row") == F.col("b_row"))
+        & (F.coalesce(F.col("doc_id").cast("long"), F.lit(0)) == F.coalesce("b_doc_id", F.lit(0)))
+        & (F.isnull("doc_id") == F.col("b_no_id"))
+    )
+    once = best.where("b_times = 1")
+    kept = told.join(once, same, "left").where("near_set IS NULL OR b_stays").select(docs.columns)
+    again = best.where("b_times > 1")
+    if not again.isEmpty():
+        more = told.join(again, same).dropDuplicates(["near_set", "near_row", "doc_id"])
+        kept = kept.unionByName(more.select(docs.columns))
+    return kept
