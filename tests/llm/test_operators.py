@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -123,6 +124,31 @@ def test_overlaps_tolerate_substitutions(spark, docs):
     assert decontaminate.clean_documents(docs, items).columns == docs.columns
 
 
+@pytest.mark.parametrize("size", range(7, 15))
+def test_every_accepted_pattern_has_a_seed(size):
+    item = [f"w{k}" for k in range(size)]
+    window = min(size, decontaminate.WINDOW)
+    most = window - math.ceil(decontaminate.SHARE * window)
+    texts = []
+    for m in range(most + 1):
+        for lost in itertools.combinations(range(window), m):
+            changed = " ".join("x" if k in lost or k >= window else w for k, w in enumerate(item))
+            texts += [f"a b c {changed} d e f", changed]
+    block = decontaminate.index_items(np.array([1]), [" ".join(item)])
+    raw = [t.encode() for t in texts]
+    starts = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
+    found = wordhash.words(np.frombuffer(b"".join(raw), dtype=np.uint8), starts)
+    assert set(decontaminate.overlaps(found, block)[0].tolist()) == set(range(len(texts)))
+
+
+def test_very_short_items_remove_no_document(spark):
+    importable(spark)
+    docs = spark.createDataFrame([(1, "he said yes to it"), (2, "the answer is 42"), (3, "a b c d e f x")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "yes"), (2, "is 42"), (3, "a b c d e f g")], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.find_overlaps(docs, items).collect()} == {(1, 1), (2, 2), (3, 3)}
+    assert {r.doc_id for r in decontaminate.clean_documents(docs, items).collect()} == {1, 2}
+
+
 # 2 neighbours
 
 

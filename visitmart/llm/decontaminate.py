@@ -20,6 +20,11 @@ from visitmart.llm.wordhash import Words, mix, texts, words
 
 #: Six of up to twelve neighbouring words each.
 MASKS = ("1110111", "11010010011", "10101100011", "110001011001")
+#: Five words each, for items of ``SHORT`` words; with them every pattern of agreeing words that is accepted is hit.
+SHORT_MASKS = ("11111", "1101011", "11100101")
+SHORT = range(7, 12)
+#: Items of fewer words are reported, but too common in clean texts to remove a document.
+LEAST_TO_REMOVE = 3
 WINDOW = 13
 SHARE = 0.8
 _SIEVE_BITS = 20
@@ -62,21 +67,25 @@ def index_items(item: np.ndarray, texts_: list[str]) -> Block:
     found = words(np.frombuffer(b"".join(raw), dtype=np.uint8), starts)
     count = np.diff(found.first)
     shortest = min(map(len, MASKS))
-    masks = [_offsets(m) for m in MASKS]
-    whole = sorted({int(n) for n in count if 0 < n < shortest})
+    sizes = {int(n) for n in count}
+    # masks, and the sizes of the items they are for (None: any)
+    masks = [(_offsets(m), None) for m in MASKS]
+    if not sizes.isdisjoint(SHORT):  # texts are not searched by masks that no item needs
+        masks += [(_offsets(m), SHORT) for m in SHORT_MASKS]
+    masks += [(list(range(n)), [n]) for n in sorted(sizes) if 0 < n < shortest]
     parts = []
-    for tag, mask in enumerate(masks + [list(range(n)) for n in whole]):
+    for tag, (mask, of) in enumerate(masks):
         seed, place = _seeds(found, mask, tag)
         owner = np.searchsorted(found.first, place, side="right") - 1
-        if tag >= len(masks):
-            keep = count[owner] == len(mask)
+        if of is not None:
+            keep = np.isin(count[owner], list(of))
             seed, place, owner = seed[keep], place[keep], owner[keep]
         parts.append((seed, owner, place - found.first[owner]))
     seed, owner, place = (np.concatenate(x) for x in zip(*parts))
     order = np.argsort(seed, kind="stable")
     sieve = np.zeros(1 << _SIEVE_BITS, dtype=bool)
     sieve[(seed >> np.uint64(64 - _SIEVE_BITS)).astype(np.int64)] = True
-    return Block(item, found.hash, found.first, masks + [list(range(n)) for n in whole], seed[order], owner[order], place[order], sieve)
+    return Block(item, found.hash, found.first, [m for m, _ in masks], seed[order], owner[order], place[order], sieve)
 
 
 def overlaps(found: Words, block: Block):
@@ -153,9 +162,9 @@ def find_overlaps(docs: DataFrame, items: DataFrame, block_items: int = 20_000)
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, block_items: int = 20_000) -> DataFrame:
-    """The rows of ``docs`` that overlap with no item, all columns unchanged.
+    """The rows of ``docs`` that overlap with no item of at least ``LEAST_TO_REMOVE`` words, all columns unchanged.
 
-    A row is judged by its own text, so equal or null ids do not matter.
+    Shorter items ('yes', '42') stand in clean texts too and are left to ``find_overlaps``. A row is judged by its own text, so equal or null ids do not matter.
     """
     spark = docs.sparkSession
     items = items.select("item_id", "text").where("text IS NOT NULL")
@@ -169,7 +178,8 @@ def clean_documents(docs: DataFrame, items: DataFrame, block_items: int = 20_000
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             for part, found, _, _ in texts(batches):
                 keep = np.ones(part.num_rows, dtype=bool)
-                keep[overlaps(found, sent.value)[0]] = False
+                row, item, *_ = overlaps(found, sent.value)
+                keep[row[np.diff(sent.value.first)[item] >= LEAST_TO_REMOVE]] = False
                 yield part.filter(pa.array(keep))
 
         docs = docs.mapInArrow(run, docs.schema)
