@@ -193,6 +193,22 @@ def test_recall_of_windows(spark, sf, monkeypatch):
     assert len(got & right) >= 0.9 * len(right)
 
 
+def test_a_large_group_of_equal_vectors_keeps_its_smallest_ids(spark, monkeypatch):
+    monkeypatch.setattr(ann, "LEAST_HALF", 10)
+    monkeypatch.setattr(ann, "PACK", 2)
+    rng = np.random.default_rng(4)
+    same = [0.1, -0.2, 0.3, 0.4]
+    rows = [(i, same if i % 3 == 0 else rng.standard_normal(4).tolist()) for i in range(2400)]
+    rows += [(0, same), (300, rng.standard_normal(4).tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got = {}
+    for r in ann.nearest(df, "id % 100 = 0").orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert sorted(got) == list(range(0, 2400, 100)) and all(len(v) == 10 for v in got.values())
+    for q in range(0, 2400, 300):
+        assert got[q] == [(3 * i, 0.0) for i in range(11) if 3 * i != q][:10]
+
+
 # 3 Jaccard join
 
 
