@@ -452,6 +452,35 @@ def test_field_adds_and_keeps(spark, docs, none):
     assert pii.best_segments(pii.fit([]), pii.lattice("a@b.c", 0, 5)) == []
 
 
+def test_every_marked_span_is_a_candidate(rows):
+    r = random.Random(8)
+    made = [".".join(str(r.choice([0, 1, 8, 10, 127, 255])) for _ in range(4)) for _ in range(200)]
+    made += ["".join(r.choice("0123456789012.. .--+@@aZ%()") for _ in range(r.randint(0, 60))) for _ in range(2000)]
+    short = 0
+    for text in [*made, *(t or "" for _, t in rows)]:
+        spans = pii.base_spans(text)
+        for low, high in pii.regions(text):
+            lat = pii.lattice(text, low, high)
+            known = set() if lat is None else {(int(lat.bounds[i]), int(lat.bounds[j])) for i, j in zip(lat.start, lat.end)}
+            for _, a, b in spans:
+                if low <= a and b <= high and sum(1 for _ in pii._TOKEN.finditer(text, a, b)) <= pii.LONGEST:
+                    assert (a, b) in known
+                    short += sum(map(str.isdigit, text[a:b])) < 7
+    assert short > 50
+
+
+def test_field_finds_short_addresses(spark):
+    finder = pii.Finder(pii.train(importable(spark).read.parquet("/root/testdata/sf0.1/documents.parquet")))
+    for text, span in (
+        ("at 10[.]0[.]0[.]1 now", "10[.]0[.]0[.]1"),
+        ("at 10 . 0 . 0 . 1 now", "10 . 0 . 0 . 1"),
+        ("at 999.10.0.0.1 now", "10.0.0.1"),
+    ):
+        assert not pii.base_spans(text) and [(k, text[a:b]) for k, a, b, _ in finder(text)] == [(1, span)]
+    for text in ("at 1, 2, 3, 4 times", "1 2 3 4", "12.5.2024 11.4.2023", "at 999.1.1.1", "5/6/7/8", "rows 3.5 4.5 6.5"):
+        assert finder(text) == []
+
+
 def test_likelihood_gradient():
     rng = np.random.default_rng(1)
     field = pii.Field(rng.standard_normal((pii.FEATURES, 4)) * 0.1, rng.standard_normal(4) * 0.1)

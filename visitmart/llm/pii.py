@@ -1,6 +1,6 @@
 """Personal data by a semi-Markov conditional random field, beside exact patterns.
 
-A region is a run of neighbouring words with a digit or an @. Segments of a region, up to ``LONGEST``
+A region is a run of neighbouring words with a digit or an @, over lone dots too. Segments of a region, up to ``LONGEST``
 tokens, are scored as wholes: how many digits, dots and @ they have, their shape, checksum, both ends
 and both neighbours. Dynamic programming over bounded entities chooses boundaries and kinds together;
 every other token is outside. The weights maximise the likelihood of what the patterns mark in a
@@ -79,7 +79,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def regions(text: str) -> Iterator[tuple[int, int]]:
-    """Runs of words with a digit or an @, joined over single spaces."""
+    """Runs of words with a digit or an @, joined over single spaces and lone dots."""
     done, size = 0, len(text)
     start = end = -1
     hit = _TRIGGER.search(text)
@@ -90,7 +90,7 @@ def regions(text: str) -> Iterator[tuple[int, int]]:
         high = hit.end()
         while high < size and not text[high].isspace():
             high += 1
-        if start >= 0 and low - end <= 1:
+        if start >= 0 and (low - end <= 1 or text[end:low] == " . "):
             end = high
         else:
             if start >= 0:
@@ -131,7 +131,7 @@ class Lattice:
 
 
 def lattice(text: str, start: int, end: int) -> Lattice | None:
-    """None, if no segment can be an entity: such has an @, or at least seven digits."""
+    """None, if no segment can be an entity: such has an @, at least seven digits, or (an address) four runs of digits."""
     tokens = list(_TOKEN.finditer(text, start, end))
     n = len(tokens)
     kind = np.array([_around(t[0][0]) for t in tokens])
@@ -147,7 +147,7 @@ def lattice(text: str, start: int, end: int) -> Lattice | None:
     i, j = i[keep], j[keep]
     of = lambda sums: sums[j] - sums[i]
     solid = np.array([not t[0].isspace() for t in tokens])
-    keep = ((of(ats) > 0) | (of(digits) >= 7)) & solid[i] & solid[j - 1]
+    keep = ((of(ats) > 0) | (of(digits) >= 7) | (of(runs(digit)) == 4)) & solid[i] & solid[j - 1]
     if not keep.any():
         return None
     order = np.lexsort((i[keep], j[keep]))
