@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from visitmart.llm import ann, bpe, decontaminate, fm, jaccard, maxent, pii, secrets, sharding, toxicity
+from visitmart.llm import ann, bpe, decontaminate, fm, interactions, jaccard, maxent, mixing, pii, secrets, sharding, toxicity, zonemaps
 from visitmart.llm.shared import importable
 
 QUERIES: dict = {}
@@ -53,6 +53,63 @@ report AS (SELECT d.doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count
   FROM d LEFT JOIN spans USING (doc_id) GROUP BY d.doc_id)
 SELECT doc_id, n_assign, n_access, n_hex, sha256(spans) AS base_sha256, spans FROM report"""
 
+_VECTOR = "list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT)"
+_FLOOR = "((s - ((s % n) + n) % n) // n)::BIGINT"
+_APART = "list_sum(list_transform(list_zip(r.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT"
+
+
+def _round_sql(number: int) -> str:
+    """Assignment to the centroids ``c<number>``, and the centroids after it."""
+    return f"""a{number} AS MATERIALIZED (
+  SELECT row, arg_min(c.k, (d, c.k)) AS k, min(d) AS d FROM (
+    SELECT r.row, c.k, {_APART} AS d FROM r, c{number} c) x, LATERAL (SELECT x.k AS k) c GROUP BY row),
+c{number + 1} AS MATERIALIZED (
+  SELECT c.k, coalesce(m.v, c.v) AS v FROM c{number} c LEFT JOIN (
+    SELECT k, list({_FLOOR} ORDER BY i) AS v FROM (
+      SELECT k, i, sum(r.v[i])::HUGEINT AS s, count(*) AS n FROM a{number} JOIN r USING (row), range(1, 65) t(i) GROUP BY k, i)
+    GROUP BY k) m USING (k)),"""
+
+
+#: Ten rounds over the whole numbers, written out one after the other.
+SQL["op11_hilbert_zone_maps"] = f"""WITH r AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS row, vec_id, {_VECTOR} AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x))) = 64),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS k, v FROM (
+    SELECT sha256('3:' || coalesce(vec_id::VARCHAR, '')) AS h, v FROM r ORDER BY h, v LIMIT 8)),
+{chr(10).join(_round_sql(i) for i in range(11))}
+own AS (SELECT k, sum(d)::BIGINT AS cluster_inertia FROM a10 GROUP BY k)
+SELECT vec_id, a10.k::INT AS cluster, d AS distance, cluster_inertia, (SELECT sum(d)::BIGINT FROM a10) AS inertia,
+  sha256(array_to_string(c10.v, ',')) AS centroid_sha256
+FROM a10 JOIN r USING (row) JOIN own ON own.k = a10.k JOIN c10 ON c10.k = a10.k"""
+
+#: Failed filters of every document, all orders of the five letters, and sums over both.
+SQL["op12_packed_counters"] = """WITH w AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, [
+    len(ws) < 200, 100 * len(list_distinct(ws)) < 50 * len(ws),
+    100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t), regexp_matches(t, '[#$%&*|]'),
+    coalesce(w.doc_id > min(w.doc_id) OVER (PARTITION BY t), false)] AS fails FROM w LEFT JOIN l USING (doc_id)),
+m AS (SELECT part, good, toxic, fails, count(*) AS n, len(list_filter(fails, lambda x: x)) AS failed FROM f GROUP BY ALL),
+x(c) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+o AS (SELECT a.c || b.c || c.c || d.c || e.c AS filter_order FROM x a, x b, x c, x d, x e
+  WHERE len(list_distinct([a.c, b.c, c.c, d.c, e.c])) = 5),
+s AS (SELECT part, filter_order, step, good, toxic, n, failed,
+    fails[ascii(filter_order[step]) - 64] AS fails_here,
+    len(list_filter(range(1, step), lambda i: fails[ascii(filter_order[i]) - 64])) > 0 AS gone
+  FROM m, o, range(1, 6) t(step)),
+g AS (SELECT part, filter_order, step::INT AS step,
+    coalesce(sum(n) FILTER (NOT gone AND NOT fails_here), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (NOT gone AND fails_here), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (gone AND fails_here), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (fails_here AND failed = 1), 0)::BIGINT AS unique_fails,
+    coalesce(sum(n) FILTER (NOT gone AND fails_here AND good = 1), 0)::BIGINT AS good_lost,
+    coalesce(sum(n) FILTER (NOT gone AND fails_here AND toxic = 1), 0)::BIGINT AS toxic_lost
+  FROM s GROUP BY ALL)
+SELECT *, (sum(removed) OVER (PARTITION BY part, filter_order[step]))::BIGINT AS shapley FROM g"""
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return importable(spark).read.parquet(f"{sf_dir}/{name}.parquet")
@@ -113,3 +170,19 @@ def op9_bigru_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_hilbert_zone_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zonemaps.cluster(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_packed_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interactions.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op13_entropy_balancing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies", "rate")
