@@ -26,7 +26,7 @@ from visitmart.llm.shared import remove, stored
 GAP = "[\\x20\\x09-\\x0D]+"
 SOURCE = ["lone", "name"]  # whether the source is null, and its text
 CLASS = [*SOURCE, "size"]
-PIECE = 4096  # documents of a class ranked at once, while it has no more than PIECES of them
+PIECE = 256  # documents of a class ranked at once, while it has no more than PIECES of them
 PIECES = 65_536
 TOLERANCE, STEPS = 1e-9, 100
 _EXACT = "decimal(38,9)"
