@@ -124,15 +124,6 @@ class Encoder:
         return per_text_tokens, self.ids[at], begin + self.starts[at], begin + self.ends[at]
 
 
-_encoders: dict[tuple[str, str], Encoder] = {}
-
-
-def _encoder(path: str, pattern: str) -> Encoder:
-    if (path, pattern) not in _encoders:
-        _encoders[path, pattern] = Encoder(path, pattern)
-    return _encoders[path, pattern]
-
-
 def _without(df: DataFrame, *names: str) -> DataFrame:
     return df.select([F.col(f"`{c}`") for c in df.columns if c.lower() not in names])
 
@@ -149,7 +140,7 @@ def encode(df: DataFrame, path: str, pattern: str, column: str = "text", offsets
     schema = T.StructType(df.schema.fields + [T.StructField(c, T.ArrayType(T.IntegerType(), False)) for c in added])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work = _encoder(path, pattern)
+        work = Encoder(path, pattern)  # goes with the task, so a worker that serves others later holds no pieces
         for batch in batches:
             if not batch.num_rows:
                 continue

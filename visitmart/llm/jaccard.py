@@ -9,9 +9,10 @@ tokens of one sub-class then stand for k - 1, and the prefix is extended until t
 needed. Two partners share l of these tokens and pairs, for the smaller l. How many documents hold a token is counted over all.
 
 Equal sets are one node. Candidates are verified by exact intersection. In the buckets of pairs, which
-copies may fill, each member is first compared with the bucket's first and last set; then just those
-members that are still in different components, and of these only such whose parity bitmaps differ in no
-more places than the two sets may (each token in one set alone changes one place at most).
+copies may fill, each member is first compared with the bucket's first and last set. Buckets with members that are
+still in different components and mostly the same sets are then put together, and of their members just those of
+different components are compared, once for each pair, whose parity bitmaps differ in no more places than the two
+sets may (each token in one set alone changes one place at most).
 """
 
 from __future__ import annotations
@@ -40,6 +41,7 @@ _SIEVE_BITS = 24
 MAPS = [f"m{k}" for k in range(16)]  # a parity bitmap of 1024 places
 _SEEN = 100_000  # rows a task remembers
 STARS = 3  # rounds of comparing buckets with two of their sets
+PLACES = 64  # buckets by which a set tells where it first meets another
 
 
 def _tokens(batches: Iterator[pa.RecordBatch], n: int):
@@ -120,8 +122,8 @@ def frequent_tokens(docs: DataFrame, n: int, total: int, least: int, most: int)
 
     counted = docs.select("doc_id", "text").mapInArrow(count, "part long, low binary, times binary")
     found = counted.groupBy("part").applyInArrow(pick, "head long, many long")
-    heads = [r.head for r in found.orderBy(F.desc("many"), "head").limit(most).select("head").collect()]
-    return np.sort(np.array(heads, dtype=np.uint64)), int(drop)
+    heads = found.orderBy(F.desc("many"), "head").limit(most).select("head").toArrow().column("head")
+    return np.sort(np.asarray(heads).astype(np.uint64)), int(drop)
 
 
 def _pairs(tokens: np.ndarray, need: int, level: int) -> np.ndarray:
@@ -177,7 +179,7 @@ def signatures(edge: np.ndarray, h: np.ndarray, frequent: np.ndarray, percent: i
     return np.concatenate(rows), np.concatenate(sigs), np.concatenate(heavy), least
 
 
-_POSTING = ", ".join(["sig long, set_id long, n int, least int", *(f"{m} long" for m in MAPS), "heavy boolean"])
+_POSTING = "sig long, set_id long, n int, least int, heavy boolean"
 
 
 def parity_maps(edge: np.ndarray, h: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -216,19 +218,15 @@ def _postings(docs: DataFrame, n: int, percent: int, heads: np.ndarray, drop: in
             # the shared signatures of a set without pairs are all in the light buckets
             paired = np.unique(row[heavy])
             least[paired] = 0
-            maps = np.zeros((len(size), len(MAPS)), dtype=np.int64)
-            if len(paired):
-                maps[paired] = parity_maps(edge, h, paired)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(sig.view(np.int64)),
                     pa.array(ids[row]),
                     pa.array(size[row].astype(np.int32)),
                     pa.array(least[row].astype(np.int32)),
-                    *(pa.array(maps[row, k], mask=~heavy) for k in range(len(MAPS))),
                     pa.array(heavy),
                 ],
-                names=["sig", "set_id", "n", "least", *MAPS, "heavy"],
+                names=["sig", "set_id", "n", "least", "heavy"],
             )
 
     return docs.select("doc_id", "text").mapInArrow(run, _POSTING)
@@ -238,8 +236,10 @@ def _sizes_fit(percent: int):
     return F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent
 
 
-def _named_maps(name: str, source: str = "") -> list:
-    return [F.col(f"{source}{m}").alias(f"{name}_{m}") for m in MAPS]
+def _side(df: DataFrame, name: str, *more) -> DataFrame:
+    """One side of a join on ``sig``: the set as ``name``, and its other columns with that prefix."""
+    rest = df.select("sig", "set_id", "n", *more)
+    return rest.toDF("sig", name, *(f"{name}_{c}" for c in rest.columns[2:]))
 
 
 def _maps_fit(percent: int):
@@ -249,7 +249,7 @@ def _maps_fit(percent: int):
 
 
 def _tokens_of(docs: DataFrame, sets: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """set_id and tokens of the sets in ``wanted`` (set_id), each from one of its rows."""
+    """set_id, tokens and parity bitmap of the sets in ``wanted`` (set_id), each from one of its rows."""
     spark = docs.sparkSession
     picks = stored(
         sets.join(wanted, "set_id").groupBy("set_id").agg(F.min(F.coalesce("doc_id", F.lit(0))).alias("pick")), "picks"
@@ -277,12 +277,47 @@ def _tokens_of(docs: DataFrame, sets: DataFrame, wanted: DataFrame, n: int) -> D
             keep = _bit_is_set(sent.value, np.maximum(bit - 1, 0)) & (size > 0)
             edges = np.concatenate([[0], np.cumsum(size[keep])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(edges), pa.array(h[np.repeat(keep, size)].view(np.int64)))
+            maps = parity_maps(edge, h, np.flatnonzero(keep))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(pick[keep]), pa.array(ids[keep]), lists], names=["pick", "set_id", "tokens"]
+                [pa.array(pick[keep]), pa.array(ids[keep]), lists, *map(pa.array, maps.T)],
+                names=["pick", "set_id", "tokens", *MAPS],
             )
 
-    held = docs.mapInArrow(run, "pick long, set_id long, tokens array<long>").join(picks, ["set_id", "pick"], "left_semi")
-    return stored(held.groupBy("set_id").agg(F.first("tokens").alias("tokens")), "tokens")
+    schema = "pick long, set_id long, tokens array<long>, " + ", ".join(f"{m} long" for m in MAPS)
+    held = docs.mapInArrow(run, schema).join(picks, ["set_id", "pick"], "left_semi")
+    return stored(held.groupBy("set_id").agg(F.first(F.struct("tokens", *MAPS)).alias("held")).select("set_id", "held.*"), "tokens")
+
+
+def _merged(apart: DataFrame) -> DataFrame:
+    """Rows of ``apart`` (sig, set_id, ...) by group in place of sig: buckets with mostly the same sets are one group.
+
+    Buckets with the same set of lowest hash are put together where the pairs of all their sets are no more than the
+    pairs bucket by bucket; a group of near copies, which fills many buckets, is then compared about once.
+    """
+    least = F.min(F.struct(F.xxhash64("set_id").alias("h"), "set_id"))["set_id"].alias("owner")
+    buckets = apart.groupBy("sig").agg(least, (F.count("*") * (F.count("*") - 1)).alias("apart_pairs"))
+    owned = apart.join(buckets.select("sig", "owner"), "sig").select("owner", "set_id").distinct()
+    joint = owned.groupBy("owner").agg((F.count("*") * (F.count("*") - 1)).alias("joint_pairs"))
+    sums = buckets.groupBy("owner").agg(F.sum("apart_pairs").alias("apart_pairs")).join(joint, "owner")
+    whole = buckets.join(sums.where("joint_pairs <= apart_pairs").select("owner", F.lit(True).alias("joint")), "owner", "left")
+    place = F.when(F.col("joint"), F.xxhash64(F.lit("joint"), "owner")).otherwise(F.col("sig")).alias("place")
+    groups = whole.select("sig", place)
+    return stored(apart.join(groups, "sig").drop("sig").dropDuplicates(["place", "set_id"]).withColumnRenamed("place", "sig"), "apart")
+
+
+def _with_places(apart: DataFrame) -> DataFrame:
+    """``apart`` with the first ``PLACES`` of each set's buckets in ascending order."""
+    bucket = W.partitionBy("set_id").orderBy("sig")
+    firsts = apart.select("set_id", "sig", F.row_number().over(bucket).alias("number")).where(F.col("number") <= PLACES)
+    return apart.join(firsts.groupBy("set_id").agg(F.sort_array(F.collect_list("sig")).alias("places")), "set_id")
+
+
+def _met_first():
+    """Whether the bucket is the first that both sets are in, as far as ``places`` tell.
+
+    Both lists hold a set's first buckets; if they have any in common, the least of these is the first of all.
+    """
+    return F.coalesce(F.array_min(F.array_intersect("a_places", "b_places")) == F.col("sig"), F.lit(True))
 
 
 def _bit_is_set(bits: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -335,18 +370,15 @@ def _sets_and_components(docs: DataFrame, n: int, percent: int) -> tuple[DataFra
             .distinct(),
             "light",
         )
-        heavy = postings.where("heavy").select("sig", "set_id", "n", *MAPS).dropDuplicates(["sig", "set_id"])
+        heavy = postings.where("heavy").select("sig", "set_id", "n").dropDuplicates(["sig", "set_id"])
         shared = heavy.groupBy("sig").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high")).where("low < high")
         heavy = stored(heavy.join(shared.select("sig"), "sig", "left_semi"), "heavy")
     finally:
         remove(spark, path)
 
-    def side(df: DataFrame, name: str, *more: str) -> DataFrame:
-        return df.select("sig", F.col("set_id").alias(name), F.col("n").alias(f"{name}_n"), *more)
-
     within = (
-        side(light, "a", F.col("least").alias("a_least"))
-        .join(side(light, "b", F.col("least").alias("b_least")), "sig")
+        _side(light, "a", F.col("least"))
+        .join(_side(light, "b", F.col("least")), "sig")
         .where((F.col("a") < F.col("b")) & _sizes_fit(percent))
         .groupBy("a", "b")
         .agg(F.count("*").alias("shared"), F.max("a_least").alias("a_least"), F.max("b_least").alias("b_least"))
@@ -370,23 +402,25 @@ def _sets_and_components(docs: DataFrame, n: int, percent: int) -> tuple[DataFra
         apart = stored(placed.join(mixed.select("sig"), "sig", "left_semi"), "apart")
         if apart.isEmpty():
             break
+        fit = _sizes_fit(percent) & _maps_fit(percent)
+        more = [F.col("comp"), *map(F.col, MAPS)]
         if turn < STARS:
+            members = apart.join(held.drop("tokens"), "set_id")
             whole = F.struct(F.xxhash64("set_id", F.lit(turn)).alias("h"), "set_id", "n", "comp", *MAPS)
-            ends = apart.groupBy("sig").agg(F.min(whole).alias("low"), F.max(whole).alias("high"))
+            ends = members.groupBy("sig").agg(F.min(whole).alias("low"), F.max(whole).alias("high"))
             ends = ends.select("sig", F.explode(F.array("low", "high")).alias("e")).select("sig", "e.*")
+            fit = (F.col("a_comp") != F.col("b_comp")) & fit
         else:
-            ends = apart
-        met = side(apart, "a", F.col("comp").alias("a_comp"), *_named_maps("a")).join(
-            side(ends, "b", F.col("comp").alias("b_comp"), *_named_maps("b")), "sig"
-        )
-        order = F.col("a_comp") != F.col("b_comp") if turn < STARS else F.col("a_comp") < F.col("b_comp")
-        met = met.where(order & _sizes_fit(percent) & _maps_fit(percent))
+            members = ends = _with_places(_merged(apart)).join(held.drop("tokens"), "set_id")
+            more.append(F.col("places"))
+            fit = (F.col("a_comp") < F.col("b_comp")) & fit & _met_first()
+        met = _side(members, "a", *more).join(_side(ends, "b", *more), "sig").where(fit)
         met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         fresh = stored(met.join(pairs, ["a", "b"], "left_anti"), "pairs")
         pairs = pairs.union(fresh)
-        more = _verify(held, fresh, percent)
-        if not more.isEmpty():
-            links = links.union(more)
+        found = _verify(held, fresh, percent)
+        if not found.isEmpty():
+            links = links.union(found)
             comps = components(links)
     return sets, comps
 
@@ -403,19 +437,19 @@ def _named(sets: DataFrame, comps: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
-def _with_sets(rows: DataFrame, n: int) -> DataFrame:
-    """``rows`` with the set of their text in ``near_set``.
+def _with_sets(rows: DataFrame, n: int, row_name: str, set_name: str) -> DataFrame:
+    """``rows`` with the set of their text in ``set_name``.
 
-    A row equal in id, set and ``near_row`` to one that its task has just seen is left out. Empty sets, which have
-    no equals, get numbers in ``near_row`` that spread them.
+    A row equal in id, set and ``row_name`` to one that its task has just seen is left out. Empty sets, which have
+    no equals, get numbers in ``row_name`` that spread them.
     """
-    schema = T.StructType([*rows.schema.fields, T.StructField("near_set", T.LongType())])
+    schema = T.StructType([*rows.schema.fields, T.StructField(set_name, T.LongType())])
 
     def run(batches):
         seen: set = set()
         for part, edge, _, ids in _tokens(batches, n):
             empty = np.diff(edge) == 0
-            digest = np.asarray(part.column("near_row")).copy()
+            digest = np.asarray(part.column(row_name)).copy()
             digest[empty] = np.arange(len(digest))[empty]
             keys = list(zip(part.column("doc_id").to_pylist(), ids.tolist(), digest.tolist()))
             keep = np.ones(len(keys), dtype=bool)
@@ -425,7 +459,7 @@ def _with_sets(rows: DataFrame, n: int) -> DataFrame:
             if len(seen) > _SEEN:
                 seen.clear()
             columns = dict(zip(part.schema.names, part.columns))
-            columns |= {"near_row": pa.array(digest), "near_set": pa.array(ids, mask=empty)}
+            columns |= {row_name: pa.array(digest), set_name: pa.array(ids, mask=empty)}
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns)).filter(pa.array(keep))
 
     return rows.mapInArrow(run, schema)
@@ -438,30 +472,34 @@ def one_of_each_group(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFra
     last), then the smallest set and the smallest hash of all its columns. Of rows equal in all columns one stays. Rows
     without a set (null, empty and blank texts) have no equals and stay.
     """
+    own = "near"  # work columns have names that no column of ``docs`` begins with
+    while any(c.lower().startswith(own) for c in docs.columns):
+        own += "_"
+    row_name, set_name = f"{own}_row", f"{own}_set"
     hashed = [f"`{f.name}`" for f in docs.schema if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
-    rows = docs.withColumn("near_row", F.xxhash64(*hashed))
-    slim = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "near_row")
+    rows = docs.withColumn(row_name, F.xxhash64(*hashed))
+    slim = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col(row_name).alias("near_row"))
     sets, comps = _sets_and_components(slim, n, percent)
     # equal rows are summed first, so a text that fills a third of the rows is one row here
     each = sets.where("set_id IS NOT NULL").groupBy("set_id", "doc_id", "near_row").agg(F.count("*").alias("times"))
     first = F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "set_id", "near_row", "times")).alias("first")
-    own = each.groupBy("set_id").agg(first)
-    placed = own.join(comps.select(F.col("node").alias("set_id"), "comp"), "set_id", "left")
+    placed = each.groupBy("set_id").agg(first).join(comps.select(F.col("node").alias("set_id"), "comp"), "set_id", "left")
     best = placed.groupBy(F.coalesce("comp", "set_id").alias("comp")).agg(F.min("first").alias("first"))
     best = stored(best.select("first.*").withColumn("stays", F.lit(True)), "best")
-    best = best.toDF("b_no_id", "b_doc_id", "b_set", "b_row", "b_times", "b_stays")
-    told = _with_sets(rows, n)
+    best = best.toDF(*(f"{own}_b_{c}" for c in ("no_id", "doc_id", "set", "row", "times", "stays")))
+    told = _with_sets(rows, n, row_name, set_name)
     # an id of null is compared as 0 beside a flag, so that both sides are dealt by all of the key
     same = (
-        (F.col("near_set") == F.col("b_set"))
-        & (F.col("near_row") == F.col("b_row"))
-        & (F.coalesce(F.col("doc_id").cast("long"), F.lit(0)) == F.coalesce("b_doc_id", F.lit(0)))
-        & (F.isnull("doc_id") == F.col("b_no_id"))
+        (F.col(set_name) == F.col(f"{own}_b_set"))
+        & (F.col(row_name) == F.col(f"{own}_b_row"))
+        & (F.coalesce(F.col("doc_id").cast("long"), F.lit(0)) == F.coalesce(f"{own}_b_doc_id", F.lit(0)))
+        & (F.isnull("doc_id") == F.col(f"{own}_b_no_id"))
     )
-    once = best.where("b_times = 1")
-    kept = told.join(once, same, "left").where("near_set IS NULL OR b_stays").select(docs.columns)
-    again = best.where("b_times > 1")
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    once = best.where(F.col(f"{own}_b_times") == 1)
+    kept = told.join(once, same, "left").where(F.col(set_name).isNull() | F.col(f"{own}_b_stays")).select(names)
+    again = best.where(F.col(f"{own}_b_times") > 1)
     if not again.isEmpty():
-        more = told.join(again, same).dropDuplicates(["near_set", "near_row", "doc_id"])
-        kept = kept.unionByName(more.select(docs.columns))
+        more = told.join(again, same).dropDuplicates([set_name, row_name, "doc_id"])
+        kept = kept.unionByName(more.select(names))
     return kept
