@@ -26,18 +26,18 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by five-word shingles at a Jaccard similarity of 0.8 or more."""
+    """One document of each group linked by five-word shingles at a Jaccard similarity of 0.8 or more; texts without words stay."""
     importable(spark)
     return jaccard.one_of_each_group(docs, n=5, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a verified overlap with a benchmark item."""
+    """Documents without a verified overlap with a benchmark item; null and empty texts have none."""
     return decontaminate.clean_documents(docs, importable(spark).read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with personal data replaced by its kind."""
+    """All documents, with personal data replaced by its kind; null and empty texts stay as they are."""
     importable(spark)
     return pii.mask(docs, pii.train(docs))
 
@@ -47,6 +47,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     importable(spark)
     coded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), path, public_tokenizers.PATTERN, offsets=False)
+    coded = stored(coded, "coded")  # so that a task has one Python worker at a time, to encode or to decode
     back = bpe.decode(coded.withColumn("coded", F.col("ids")), path, "coded", "decoded")
     whole = F.col("decoded") == F.encode(F.coalesce("text", F.lit("")), "UTF-8")
     return back.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", whole.alias("whole"))
