@@ -62,7 +62,7 @@ def _total(name: str) -> Column:
     return F.coalesce(F.sum(F.col(name).cast("long")), F.lit(0))
 
 
-_COUNTS = {
+KPI_COUNTS = {
     "expired_count": "is_expired",
     "high_risk_count": "is_high_risk",
     "readmissions_any": "readmitted",
@@ -76,7 +76,7 @@ _RATES = {
 }
 
 
-def _with_rates(df: DataFrame) -> DataFrame:
+def with_rates(df: DataFrame) -> DataFrame:
     return df.withColumns({rate: percent(n, "total_visits") for rate, n in _RATES.items()})
 
 
@@ -93,16 +93,16 @@ def hospital_kpi(doctor: DataFrame) -> DataFrame:
         F.count("age_years").alias("_age_n"),
         F.sum("los").alias("_los_sum"),
         F.count("los").alias("_los_n"),
-        *[_total(column).alias(name) for name, column in _COUNTS.items()],
+        *[_total(column).alias(name) for name, column in KPI_COUNTS.items()],
     )
     out = per_patient.groupBy(*group).agg(
         F.sum("_visits").alias("total_visits"),
         F.count("uniquepid").alias("unique_patients"),
         (F.sum("_age_sum").cast("double") / F.nullif(F.sum("_age_n"), F.lit(0))).alias("avg_age_years"),
         (F.sum("_los_sum") / F.nullif(F.sum("_los_n"), F.lit(0))).alias("avg_los_days"),
-        *[F.sum(name).alias(name) for name in _COUNTS],
+        *[F.sum(name).alias(name) for name in KPI_COUNTS],
     )
-    return _with_rates(out)
+    return with_rates(out)
 
 
 def department_kpi(doctor: DataFrame) -> DataFrame:
@@ -110,6 +110,6 @@ def department_kpi(doctor: DataFrame) -> DataFrame:
     out = doctor.groupBy("as_of_date", "hospitalid", "unittype").agg(
         F.count("patientunitstayid").alias("total_visits"),
         F.avg("los").alias("avg_los_days"),
-        *[_total(column).alias(name) for name, column in _COUNTS.items()],
+        *[_total(column).alias(name) for name, column in KPI_COUNTS.items()],
     )
-    return _with_rates(out)
+    return with_rates(out)

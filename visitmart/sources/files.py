@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 from visitmart import schema as S
 from visitmart.operators.gold import assemble
 from visitmart.operators.shape import ensure_columns, table_from_path
+from visitmart.sources.buckets import bucket_label
 from visitmart.sources.paths import children, exists, has_files
 
 # Texts that mean "missing" in a CSV source.
@@ -82,14 +83,30 @@ def silver_files(spark: SparkSession, root: str) -> DataFrame:
     return files.withColumn("table_name", name).where("table_name IS NOT NULL")
 
 
-def read_silver_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The Silver tables that have files."""
+def read_silver_tables(spark: SparkSession, root: str, only: tuple[list[int], int] | None = None) -> dict[str, DataFrame]:
+    """The Silver tables that have files.
+
+    With ``only`` (numbers, of how many buckets) just those buckets' folders are listed and read, besides files that lie
+    in no bucket or in buckets of another number.
+    """
     found = set(children(spark, root))
-    return {
-        table: read_table(spark, f"{root}/{table}")
-        for table in S.SILVER_TABLES
-        if table in found and has_files(spark, f"{root}/{table}")
-    }
+    tables = {}
+    for table in S.SILVER_TABLES:
+        path = f"{root}/{table}"
+        if table not in found:
+            continue
+        if only is None:
+            folders = [path]
+        else:
+            numbers, count = only
+            labels = {f"bucket={bucket_label(n, count)}" for n in numbers}
+            there = [name for name in children(spark, path) if not name.startswith(("_", "."))]
+            folders = [f"{path}/{n}" for n in there if n in labels or not n.endswith(f"of{count:05d}")]
+        folders = [folder for folder in folders if has_files(spark, folder)]
+        if folders:
+            reader = spark.read.option("mergeSchema", True).option("recursiveFileLookup", True)
+            tables[table] = reader.parquet(*folders)
+    return tables
 
 
 def read_silver(spark: SparkSession, root: str, order: list[str] | None = None) -> DataFrame | None:

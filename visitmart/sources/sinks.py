@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from visitmart.operators.shape import validate_key
 from visitmart.operators.silver import split_silver
+from visitmart.sources.buckets import BucketStore, bucket_number
 from visitmart.sources.paths import children, exists, remove
 
 # Fixed value: the names a table may have.
@@ -60,12 +61,29 @@ def write_wide_silver(
     batch: int | None = None,
     rows_per_file: int = 250_000,
     carried: list[str] | None = None,
+    buckets: int | None = None,
 ) -> None:
     """Split wide rows into the four tables and write them, working the rows out once for all four.
 
     A small batch is written to few files: the plans of a stream's batch keep all
-    shuffle partitions, however few rows they hold.
+    shuffle partitions, however few rows they hold. With ``buckets`` a table's rows lie below ``bucket=<k>of<buckets>``
+    by their hash, the date and batch below that, so the rows of a hash are found without reading the others.
     """
+    if buckets:
+        label = F.format_string(f"%05dof{buckets:05d}", bucket_number(["record_hash"], buckets))
+        kept = wide.withColumn("bucket", label).repartition(buckets, "bucket").persist()
+        try:
+            for name, table in split_silver(kept, carried=[*(carried or []), "bucket"]).items():
+                parts = table.withColumns({"process_date": F.lit(process_date), "batch": F.lit(f"{batch or 0:06d}")})
+                (
+                    parts.write.partitionBy("bucket", "process_date", "batch")
+                    .option("partitionOverwriteMode", "dynamic")
+                    .mode("append" if batch is None else "overwrite")
+                    .parquet(f"{root}/{name}")
+                )
+        finally:
+            kept.unpersist()
+        return
     kept = wide.persist()
     try:
         wanted = max(1, -(-kept.count() // rows_per_file))
@@ -81,7 +99,11 @@ def _complete_versions(spark: SparkSession, path: str) -> list[int]:
 
 
 def read_mart(spark: SparkSession, path: str) -> DataFrame | None:
-    """The newest complete version of a mart; None if there is none."""
+    """The newest complete version of a mart, or the mart of that name in a bucketed store; None if there is neither."""
+    root, _, name = path.rstrip("/").rpartition("/")
+    stored = BucketStore(spark, root).read(name)
+    if stored is not None:
+        return stored
     versions = _complete_versions(spark, path)
     return spark.read.parquet(f"{path}/version={versions[-1]:06d}") if versions else None
 

@@ -14,13 +14,15 @@ from pyspark.sql import functions as F
 
 from visitmart import schema as S
 from visitmart.operators.final import driver_summary, model_dataset, reason_summary
-from visitmart.operators.gold import assemble, department_kpi, doctor_mart, hospital_kpi
+from visitmart.operators.gold import assemble, doctor_mart
 from visitmart.operators.quality import quality_report
-from visitmart.operators.shape import ensure_columns, rows_after, upsert
+from visitmart.operators.shape import ensure_columns, rows_after
 from visitmart.operators.silver import latest_silver, to_silver
 from visitmart.sources import sinks
+from visitmart.sources.buckets import BucketStore, touched_buckets
 from visitmart.sources.files import read_silver, read_silver_tables, read_table, read_visits_csv
 from visitmart.sources.paths import has_files
+from visitmart.streaming.gold_state import apply_changes
 
 # Raw rows of one hash differ in their content only, so its digest makes the order total.
 CONTENT = "_content"
@@ -32,7 +34,8 @@ class Layout:
     """Where the stages live. ``now`` is the ISO time in UTC given to everything written in this run.
 
     ``max_files`` bounds the files of one batch on the way to Bronze and Silver, so that a
-    large backlog is worked off in steps.
+    large backlog is worked off in steps. ``buckets`` is how many parts by hash Silver and the marts have; choose
+    it so that a bucket is about a task's work.
     """
 
     source: str
@@ -44,6 +47,7 @@ class Layout:
     order: tuple[str, ...] = tuple(BRONZE_ORDER)
     extra: tuple[str, ...] = ()
     required: tuple[str, ...] = tuple(S.QUALITY_COLUMNS)
+    buckets: int = 16
 
     @property
     def silver_order(self) -> list[str]:
@@ -62,8 +66,12 @@ class Layout:
     def quality(self) -> str:
         return f"{self.root}/quality/{self.stream}"
 
+    @property
+    def gold(self) -> str:
+        return f"{self.root}/gold"
+
     def mart(self, name: str) -> str:
-        return f"{self.root}/gold/{name}"
+        return f"{self.gold}/{name}"
 
     def final(self, name: str) -> str:
         return f"{self.root}/final/{name}"
@@ -145,7 +153,7 @@ def write_silver_batch(batch: DataFrame, number: int, layout: Layout) -> None:
     report = quality_report(to_silver(batch, layout.now), list(layout.required))
     sinks.write_report(report, f"{layout.quality}/batch={number:06d}")
     latest = latest_silver(batch.withColumn(CONTENT, F.sha2("_airbyte_data", 256)), layout.now, list(layout.order))
-    sinks.write_wide_silver(latest, layout.silver, layout.now[:10], number, carried=list(layout.order))
+    sinks.write_wide_silver(latest, layout.silver, layout.now[:10], number, carried=list(layout.order), buckets=layout.buckets)
 
 
 def bronze_to_silver(spark: SparkSession, layout: Layout) -> int:
@@ -168,34 +176,25 @@ def bronze_to_silver(spark: SparkSession, layout: Layout) -> int:
     return read_table(spark, core).count() if has_files(spark, core) else 0
 
 
-def write_marts(doctor: DataFrame, layout: Layout) -> None:
-    """A new version of the visit mart, and both KPI marts from it."""
-    spark = doctor.sparkSession
-    sinks.write_mart(doctor, layout.mart("doctor"))
-    stored = sinks.read_mart(spark, layout.mart("doctor"))
-    sinks.write_mart(hospital_kpi(stored), layout.mart("hospital_kpi"))
-    sinks.write_mart(department_kpi(stored), layout.mart("department_kpi"))
-
-
 def merge_touched(batch: DataFrame, layout: Layout) -> None:
-    """Rebuild the visits whose hash appears in any new file, from all of Silver, and merge them into the mart.
+    """Rebuild the visits whose hash appears in any new file, from all of Silver, and merge them into the marts.
 
-    Taking all of Silver for them means that a part file may come before or after its core file.
+    Taking all of Silver for them means that a part file may come before or after its core file. Only the buckets
+    of those hashes are read, in Silver and in the marts. Where there is no mart yet, all of Silver is taken.
     """
     adaptive(batch)
     spark = batch.sparkSession
     touched = batch.select("record_hash").distinct()
-    tables = {
-        name: table.join(touched, "record_hash", "left_semi")
-        for name, table in read_silver_tables(spark, layout.silver).items()
-    }
+    rebuild = not BucketStore(spark, layout.gold).has("doctor")
+    if rebuild:
+        tables = read_silver_tables(spark, layout.silver)
+    else:
+        numbers = touched_buckets(touched, ["record_hash"], layout.buckets)
+        found = read_silver_tables(spark, layout.silver, (numbers, layout.buckets))
+        tables = {name: table.join(touched, "record_hash", "left_semi") for name, table in found.items()}
     silver = assemble(tables, layout.silver_order)
-    if silver is None:
-        return
-    incoming = doctor_mart(silver)
-    existing = sinks.read_mart(spark, layout.mart("doctor"))
-    merged = incoming if existing is None else upsert(existing, incoming, ["processed_at_utc"])
-    write_marts(merged, layout)
+    if silver is not None:
+        apply_changes(spark, layout.gold, doctor_mart(silver), layout.buckets, rebuild)
 
 
 def silver_to_gold(spark: SparkSession, layout: Layout) -> int:
@@ -218,9 +217,9 @@ def silver_to_gold(spark: SparkSession, layout: Layout) -> int:
         silver = read_silver(spark, layout.silver, layout.silver_order)
         if silver is None:
             return 0
-        write_marts(doctor_mart(silver), layout)
+        apply_changes(spark, layout.gold, doctor_mart(silver), layout.buckets, rebuild=True)
         mart = sinks.read_mart(spark, layout.mart("doctor"))
-    return mart.count()
+    return mart.count() if mart is not None else 0
 
 
 def export_final(spark: SparkSession, layout: Layout) -> int:
