@@ -127,3 +127,46 @@ def test_manifest_changes_all_tables_in_one_step(spark, tmp_path):
     nulls = spark.createDataFrame([(None, "x"), (None, "y")], "id long, v string")
     assert len(B.touched_buckets(nulls, ["id"], 4)) == 1
     assert nulls.select(F.max(B.bucket_number(["id"], 4)) < 4).first()[0]
+
+
+def test_run_wide_quality_counts_across_batches(spark, tmp_path):
+    from visitmart.operators.quality import quality_report
+    from visitmart.streaming import quality_state as Q
+
+    schema = "patientunitstayid long, unittype string, is_expired boolean, readmitted long, readmitted_under_30_days long"
+    batches = [
+        [(1, "a", True, 1, 0), (1, None, False, 0, 0), (None, "b", None, None, 1)],
+        [(2, None, True, 1, 1), (1, "a", False, 0, 0), (None, None, False, 0, 0)],
+        [(3, "c", False, 0, 0)],
+    ]
+    root, required = str(tmp_path / "state"), ["unittype", "glucose"]
+    assert Q.run_report(spark, root, required, DAY1) is None
+    frame = lambda part: spark.createDataFrame(part, schema)
+    paths_of = lambda n: spark.createDataFrame([(f"f{n}",)] * 2, "path string")
+    for n, part in enumerate(batches):
+        assert Q.add_batch(spark, root, frame(part), paths_of(n), n, required, 4)
+        assert not Q.add_batch(spark, root, frame(part), paths_of(n), n, required, 4)  # repeated after a crash
+    got = Q.run_report(spark, root, required, DAY1).first().asDict()
+    whole = quality_report(frame(sum(batches, [])), required).first().asDict()
+    assert got["duplicate_patientunitstayid"] == 3  # two of id 1, one of the missing id
+    assert got.pop("generated_at_utc") == DAY1 and got.pop("input_files") == ["f0", "f1", "f2"]
+    assert got == whole
+
+
+def test_one_report_for_a_run_and_what_was_left_of_the_last(spark, tmp_path, monkeypatch):
+    source, root = str(tmp_path / "source"), str(tmp_path / "root")
+    put(spark, source, visit(), visit(patientunitstayid="2"))
+    first = I.Layout(source, root, DAY1, buckets=2)
+    I.sync_new_files(spark, first)
+    with monkeypatch.context() as patch:  # the run ends after its batches and before its report
+        patch.setattr(I, "report_quality", lambda *_: None)
+        I.bronze_to_silver(spark, first)
+    put(spark, source, visit(patientunitstayid="2"))
+    second = I.Layout(source, root, DAY2, buckets=2)
+    I.sync_new_files(spark, second)
+    I.bronze_to_silver(spark, second)
+    (report,) = spark.read.json(second.quality).collect()
+    assert (report.total_rows, report.duplicate_patientunitstayid, report.generated_at_utc) == (3, 1, DAY2)
+    assert len(report.input_files) == 2
+    I.bronze_to_silver(spark, second)
+    assert spark.read.json(second.quality).count() == 1  # nothing new, no report

@@ -16,41 +16,45 @@ def _flag_total(df: DataFrame, name: str):
     return F.coalesce(F.sum(F.col(name).cast("long")), F.lit(0))
 
 
-def quality_report(df: DataFrame, required: list[str] = S.QUALITY_COLUMNS) -> DataFrame:
-    """One row: size, nulls per required column (a missing column is all null), repeats and outcomes.
+COUNTED = ["total_rows", "expired_count", "readmitted_count", "readmitted_under_30_days_count"]
+ID = "patientunitstayid"
+
+
+def counts_by_id(df: DataFrame, required: list[str] = S.QUALITY_COLUMNS) -> DataFrame:
+    """Rows, outcomes and nulls per required column (a missing column is all null) of each id, a missing id included.
 
-    Counting distinct ids groups by id first, so the ids are never gathered in one place.
+    Counting distinct ids groups by id first, so the ids are never gathered in one place. Rows without an id column
+    are one group.
     """
     rows = F.count(F.lit(1))
     nulls = [
         (F.count_if(F.col(name).isNull()) if name in df.columns else rows).alias(f"null_{name}") for name in required
     ]
-    per_id = ["patientunitstayid"] if "patientunitstayid" in df.columns else []
-    counted = {
-        "total_rows": rows,
-        "expired_count": _flag_total(df, "is_expired"),
-        "readmitted_count": _flag_total(df, "readmitted"),
-        "readmitted_under_30_days_count": _flag_total(df, S.TARGET),
-    }
-    if per_id:
-        grouped = df.groupBy(*per_id).agg(*[c.alias(n) for n, c in counted.items()], *nulls)
-        repeats = F.coalesce(F.sum(F.col("total_rows") - 1), F.lit(0))
-    else:
-        grouped = df.agg(*[c.alias(n) for n, c in counted.items()], *nulls)
-        repeats = F.coalesce(F.sum("total_rows"), F.lit(0))
-    total = {name: F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in counted}
-    null_names = [f"null_{name}" for name in required]
-    out = grouped.agg(
-        *total.values(),
-        repeats.alias("duplicate_patientunitstayid"),
-        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in null_names],
-    )
+    flags = ("is_expired", "readmitted", S.TARGET)
+    counted = [rows, *[_flag_total(df, flag) for flag in flags]]
+    named = [c.alias(n) for n, c in zip(COUNTED, counted)]
+    return df.groupBy(*[c for c in (ID,) if c in df.columns]).agg(*named, *nulls)
+
+
+def report_of(sums: DataFrame, required: list[str] = S.QUALITY_COLUMNS) -> DataFrame:
+    """The report from one row of summed counts and ``duplicate_patientunitstayid``."""
     pairs = [part for name in required for part in (F.lit(name), F.col(f"null_{name}"))]
     rates = {
         f"{stem}_rate_pct": F.coalesce(percent(f"{stem}_count", "total_rows"), F.lit(0.0))
         for stem in ("readmitted", "readmitted_under_30_days")
     }
-    return out.withColumns({"required_column_null_counts": F.create_map(*pairs), **rates}).drop(*null_names)
+    out = sums.withColumns({"required_column_null_counts": F.create_map(*pairs), **rates})
+    return out.drop(*[f"null_{name}" for name in required])
+
+
+def quality_report(df: DataFrame, required: list[str] = S.QUALITY_COLUMNS) -> DataFrame:
+    """One row: size, nulls per required column (a missing column is all null), repeats and outcomes."""
+    grouped = counts_by_id(df, required)
+    repeats = F.sum(F.col("total_rows") - 1) if ID in df.columns else F.sum("total_rows")
+    total = [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in COUNTED]
+    nulls = [F.coalesce(F.sum(f"null_{name}"), F.lit(0)).alias(f"null_{name}") for name in required]
+    sums = grouped.agg(*total, F.coalesce(repeats, F.lit(0)).alias("duplicate_patientunitstayid"), *nulls)
+    return report_of(sums, required)
 
 
 def missing_pct(df: DataFrame, n: int = 30) -> DataFrame:

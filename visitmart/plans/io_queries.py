@@ -10,7 +10,7 @@ from visitmart import schema as S
 from visitmart.operators.evaluation import classification_metrics
 from visitmart.operators.gold import doctor_mart, hospital_kpi
 from visitmart.operators.quality import quality_report
-from visitmart.plans import gold_queries, model_queries  # noqa: F401  (their SQL is used again here)
+from visitmart.plans import gold_queries, model_queries, silver_queries  # noqa: F401  (their SQL is used again here)
 from visitmart.plans import oracle as O
 from visitmart.plans import visits as V
 from visitmart.plans.registry import SQL, query, rounded
@@ -212,14 +212,17 @@ def _overlapping_runs(spark, sf_dir) -> I.Layout:
 
 
 _BLANK = "gender apacheadmissiondx admissionheight unittype admit_day Condition".split()
-#: The doctor mart of all rows, synced at ``_FIRST`` from CSV files, where empty texts are missing.
-_ONE_SYNC = (
-    O.DOCTOR.replace(O.RAW, O.RAW.replace("raw AS (", "derived AS (", 1) + f""", raw AS (SELECT * REPLACE (
-    {', '.join(f"CASE WHEN {c} NOT IN ('', 'n/a') THEN {c} END AS {c}" for c in _BLANK)},
-    '{_FIRST}' AS _airbyte_emitted_at) FROM derived)""")
-    .replace("2024-02-01T00:00:00+00:00", _FIRST)
-    .replace("'2024-02-01' AS as_of_date", "'2024-03-01' AS as_of_date")
-)
+
+
+def _one_sync(sql: str) -> str:
+    """``sql`` over all rows synced at ``_FIRST`` from CSV files, where empty texts are missing."""
+    blanked = ", ".join(f"CASE WHEN {c} NOT IN ('', 'n/a') THEN {c} END AS {c}" for c in _BLANK)
+    synced = f"raw AS (SELECT * REPLACE ({blanked}, '{_FIRST}' AS _airbyte_emitted_at) FROM derived)"
+    sql = sql.replace(O.RAW, O.RAW.replace("raw AS (", "derived AS (", 1) + ", " + synced)
+    return sql.replace("2024-02-01T00:00:00+00:00", _FIRST).replace("'2024-02-01' AS as_of_date", "'2024-03-01' AS as_of_date")
+
+
+_ONE_SYNC = _one_sync(O.DOCTOR)
 
 
 @query("incremental_doctor_mart", f"{_ONE_SYNC} SELECT * FROM doctor")
@@ -228,17 +231,44 @@ def incremental_doctor_mart(spark, sf_dir):
     return sinks.read_mart(spark, _overlapping_runs(spark, sf_dir).mart("doctor"))
 
 
-@query("incremental_hospital_kpi", SQL["hospital_kpi"].replace(O.DOCTOR, _ONE_SYNC))
+#: Stays have two decimals at most; added up as decimals, both sides round the same number.
+_MEAN_STAY = "(sum(los::DECIMAL(18,2))::DOUBLE / nullif(count(los), 0))"
+
+
+@query("incremental_hospital_kpi", SQL["hospital_kpi"].replace(O.DOCTOR, _ONE_SYNC).replace("avg(los)", _MEAN_STAY))
 def incremental_hospital_kpi(spark, sf_dir):
     """Stored sums from which replaced visits were taken out, against sums over the final visits."""
     return rounded(sinks.read_mart(spark, _overlapping_runs(spark, sf_dir).mart("hospital_kpi")))
 
 
-@query("incremental_department_kpi", SQL["department_kpi"].replace(O.DOCTOR, _ONE_SYNC))
+@query("incremental_department_kpi", SQL["department_kpi"].replace(O.DOCTOR, _ONE_SYNC).replace("avg(los)", _MEAN_STAY))
 def incremental_department_kpi(spark, sf_dir):
     return rounded(sinks.read_mart(spark, _overlapping_runs(spark, sf_dir).mart("department_kpi")))
 
 
+_QUALITY_SYNC = SQL["quality_report"].replace(O.SILVER_ROWS, _one_sync(O.SILVER_ROWS))
+
+
+@query(
+    "quality_report_incremental",
+    f"SELECT *, '{_FIRST}' AS generated_at_utc, true AS names_files FROM ({_QUALITY_SYNC})",
+)
+def quality_report_incremental(spark, sf_dir):
+    """One report over a run of several batches of a file each, which share visit ids."""
+    tune(spark)
+    root = _fresh(spark)
+    layout = I.Layout(f"{root}/source", root, _FIRST, max_rows=1_000_000, max_files=1)
+    _source_csv(V.visits_raw(spark, sf_dir).repartition(3), layout.source)
+    I.sync_new_files(spark, layout)
+    bronze = spark.read.option("recursiveFileLookup", True).parquet(layout.bronze).inputFiles()
+    I.bronze_to_silver(spark, layout)
+    report = spark.read.json(f"{layout.quality}/run={_FIRST.replace(':', '.')}")
+    # the map comes back as a struct of the required columns
+    counts = F.explode(F.from_json(F.to_json("required_column_null_counts"), "map<string, bigint>"))
+    kept = [c for c in report.columns if c not in ("required_column_null_counts", "input_files")]
+    return report.select(*kept, (F.size("input_files") == len(bronze)).alias("names_files"), counts.alias("column_name", "null_count"))
+
+
 @query(
     "incremental_rows",
     f"WITH {O.RAW}, runs AS (SELECT CASE WHEN _o1 <= 60 THEN '{_FIRST}' ELSE '{_SECOND}' END AS _airbyte_emitted_at FROM raw) "

@@ -36,7 +36,9 @@ class BucketStore:
 
     def __init__(self, spark: SparkSession, root: str, keep: int = 2):
         self.spark, self.root, self.keep = spark, root, keep
-        self.tables = self._manifest(self._versions()[-1]) if self._versions() else {}
+        versions = self._versions()
+        newest = self._manifest(versions[-1]) if versions else {"tables": {}, "note": {}}
+        self.tables, self.note = newest["tables"], newest["note"]
 
     def _versions(self) -> list[int]:
         folder = f"{self.root}/{MANIFEST}"
@@ -77,10 +79,10 @@ class BucketStore:
             "folders": {n.split("=")[1]: f"{run}/{n}" for n in found},
         }
 
-    def commit(self, written: dict[str, tuple[dict, list[int] | None]]) -> int:
+    def commit(self, written: dict[str, tuple[dict, list[int] | None]], **note) -> int:
         """Replace, in one step, the named buckets (None: all) of each table by what ``write`` returned for it.
 
-        The last ``keep`` manifests stay with their folders, for readers still on them.
+        ``note`` is kept beside the tables, such as the number of the batch that is now part of them. The last ``keep`` manifests stay with their folders, for readers still on them.
         """
         tables = dict(self.tables)
         for table, (new, numbers) in written.items():
@@ -90,14 +92,16 @@ class BucketStore:
             tables[table] = new | {"folders": folders | new["folders"]}
         versions = self._versions()
         number = versions[-1] + 1 if versions else 1
-        text = self.spark.createDataFrame([(json.dumps(tables),)], "value string").coalesce(1)
+        self.note = self.note | note
+        manifest = json.dumps({"tables": tables, "note": self.note})
+        text = self.spark.createDataFrame([(manifest,)], "value string").coalesce(1)
         text.write.mode("overwrite").text(f"{self.root}/{MANIFEST}/version={number:06d}")
         self.tables = tables
         self._forget([*versions, number])
         return number
 
     def _forget(self, versions: list[int]) -> None:
-        folders = lambda tables: {f for t in tables.values() for f in t["folders"].values()}
+        folders = lambda m: {f for t in m["tables"].values() for f in t["folders"].values()}
         kept = set().union(*(folders(self._manifest(v)) for v in versions[-self.keep :]))
         for version in versions[: -self.keep]:
             for folder in folders(self._manifest(version)) - kept:

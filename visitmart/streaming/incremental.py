@@ -15,14 +15,14 @@ from pyspark.sql import functions as F
 from visitmart import schema as S
 from visitmart.operators.final import driver_summary, model_dataset, reason_summary
 from visitmart.operators.gold import assemble, doctor_mart
-from visitmart.operators.quality import quality_report
 from visitmart.operators.shape import ensure_columns, rows_after
 from visitmart.operators.silver import latest_silver, to_silver
 from visitmart.sources import sinks
 from visitmart.sources.buckets import BucketStore, touched_buckets
 from visitmart.sources.files import read_silver, read_silver_tables, read_table, read_visits_csv
-from visitmart.sources.paths import has_files
+from visitmart.sources.paths import has_files, remove
 from visitmart.streaming.gold_state import apply_changes
+from visitmart.streaming.quality_state import add_batch, run_report
 
 # Raw rows of one hash differ in their content only, so its digest makes the order total.
 CONTENT = "_content"
@@ -66,6 +66,11 @@ class Layout:
     def quality(self) -> str:
         return f"{self.root}/quality/{self.stream}"
 
+    @property
+    def quality_state(self) -> str:
+        """The counts of a run while it goes on."""
+        return f"{self.root}/quality_state/{self.stream}"
+
     @property
     def gold(self) -> str:
         return f"{self.root}/gold"
@@ -148,12 +153,27 @@ def sync_rows_after(spark: SparkSession, layout: Layout, order: str) -> int:
 
 
 def write_silver_batch(batch: DataFrame, number: int, layout: Layout) -> None:
-    """Silver tables and quality report of one batch of Bronze rows."""
+    """Silver tables of one batch of Bronze rows, and its share of the run's quality report."""
     adaptive(batch)
-    report = quality_report(to_silver(batch, layout.now), list(layout.required))
-    sinks.write_report(report, f"{layout.quality}/batch={number:06d}")
+    files = batch.select(F.input_file_name().alias("path"))
+    add_batch(
+        batch.sparkSession, layout.quality_state, to_silver(batch, layout.now), files, number, list(layout.required), layout.buckets
+    )
     latest = latest_silver(batch.withColumn(CONTENT, F.sha2("_airbyte_data", 256)), layout.now, list(layout.order))
-    sinks.write_wide_silver(latest, layout.silver, layout.now[:10], number, carried=list(layout.order), buckets=layout.buckets)
+    sinks.write_wide_silver(
+        latest, layout.silver, layout.now[:10], number, carried=list(layout.order), buckets=layout.buckets
+    )
+
+
+def report_quality(spark: SparkSession, layout: Layout) -> None:
+    """Write the report of the batches since the last one, and drop their counts.
+
+    Those are this run's, and any of a run that ended before its report; no batch is in two reports.
+    """
+    report = run_report(spark, layout.quality_state, list(layout.required), layout.now)
+    if report is not None:
+        sinks.write_report(report, f"{layout.quality}/run={layout.now.replace(':', '.')}")
+        remove(spark, layout.quality_state)
 
 
 def bronze_to_silver(spark: SparkSession, layout: Layout) -> int:
@@ -172,6 +192,7 @@ def bronze_to_silver(spark: SparkSession, layout: Layout) -> int:
         .start()
     )
     query.awaitTermination()
+    report_quality(spark, layout)
     core = f"{layout.silver}/visits_core"
     return read_table(spark, core).count() if has_files(spark, core) else 0
 
