@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from visitmart.operators import final
 from visitmart.operators import retrieval as R
+from visitmart.operators import text_index as X
 from visitmart.plans import oracle as O
 from visitmart.plans import visits as V
 from visitmart.plans.gold_queries import DRIVER_SQL, REASON_SQL
 from visitmart.plans.registry import query, rounded
-from visitmart.session import materialise
+from visitmart.session import materialise, shared_dir
 
 STOP = "the of and to in is it that this for with on as by an at be from or are was".split()
 QUESTION = "Where were the worthless onstable things with relation and the condition of thenti"
@@ -95,6 +98,51 @@ def retrieve_without_match(spark, sf_dir):
     return R.retrieve(documents, "doc_id", "text", "zzqqxx", 5, STOP, VOCABULARY).select("doc_id", "score")
 
 
+@query(
+    "retrieve_many",
+    f"""{_DOCS}, questions AS (SELECT item_id, text FROM benchmark), {_tokens_sql('questions', 'item_id', 'text')},
+    asked AS (SELECT k AS q, term, tf * idf AS q_w FROM tf_questions JOIN vocab USING (term)),
+    asked_len AS (SELECT q, sqrt(sum(q_w * q_w)) AS q_len FROM asked GROUP BY q),
+    weighted AS (SELECT k, term, tf * idf AS w FROM tf_documents JOIN vocab USING (term)),
+    lens AS (SELECT k, sqrt(sum(w * w)) AS len FROM weighted GROUP BY k),
+    dots AS (SELECT q, k, sum(w * q_w) AS dot FROM weighted JOIN asked USING (term) GROUP BY q, k),
+    cosines AS (SELECT q, k, dot / (len * q_len) AS c FROM dots JOIN lens USING (k) JOIN asked_len USING (q)),
+    scores AS (SELECT item_id AS question_id, doc_id, coalesce(round(c, 9), 0e0) AS score FROM benchmark CROSS JOIN documents
+      LEFT JOIN cosines ON q = item_id AND k = doc_id)
+    SELECT question_id, rank::INTEGER AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY question_id
+      ORDER BY score DESC, doc_id) AS rank FROM scores) WHERE rank <= 8""",
+)
+def retrieve_many(spark, sf_dir):
+    """The benchmark's items as questions on an index of all documents."""
+    folder = f"{shared_dir(spark)}/text-index-{uuid.uuid4().hex}"
+    X.build_index(V.table(spark, sf_dir, "documents"), "doc_id", "text", folder, STOP, VOCABULARY)
+    items = V.table(spark, sf_dir, "benchmark").selectExpr("item_id AS question_id", "text AS question")
+    return X.retrieve_many(spark, folder, items)
+
+
+@query("vocabulary_after_change", f"{_DOCS} SELECT term, corpus_tf, df, {O.r('idf')} AS idf FROM vocab")
+def vocabulary_after_change(spark, sf_dir):
+    """The vocabulary of all documents from the statistics of an earlier state of them.
+
+    At that time the benchmark's items were in the corpus, documents of the first source were not, and English ones ended
+    in another word.
+    """
+    documents = V.table(spark, sf_dir, "documents")
+    first = documents.agg(F.min("source")).scalar()
+    fresh = F.col("source").eqNullSafe(first)
+    altered = F.col("lang").eqNullSafe("en") & ~fresh
+    earlier = documents.where(~fresh).withColumn("text", F.when(altered, F.concat("text", F.lit(" draft"))).otherwise(F.col("text")))
+    items = V.table(spark, sf_dir, "benchmark").selectExpr("item_id AS doc_id", "text")
+
+    def counted(rows):
+        return X.term_frequencies(rows, "doc_id", "text", STOP)
+
+    stored = materialise(X.corpus_statistics(counted(earlier.select("doc_id", "text").unionAll(items))))
+    gone = counted(earlier.where(altered).select("doc_id", "text").unionAll(items))
+    statistics = X.changed_statistics(stored, gone, counted(documents.where(fresh | altered)))
+    return rounded(X.top_terms(statistics, documents.count(), VOCABULARY))
+
+
 _CHUNKS = f"""{O.MODEL}, {REASON_SQL}, {DRIVER_SQL},
   reason6 AS (SELECT * REPLACE ({O.r('avg_lace_score', 6)} AS avg_lace_score, {O.r('avg_los', 6)} AS avg_los) FROM reason),
   driver6 AS (SELECT * REPLACE ({O.r('avg_chronic_conditions', 6)} AS avg_chronic_conditions, {O.r('avg_los', 6)} AS avg_los)
