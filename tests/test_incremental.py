@@ -94,6 +94,35 @@ def test_growing_source(spark, tmp_path):
     assert per_file <= 2
 
 
+def test_growing_file_without_order_column(spark, tmp_path):
+    path = tmp_path / "source.csv"
+    layout = I.Layout(str(path), str(tmp_path / "root"), DAY1)
+
+    def grown(n, end="\n"):
+        path.write_text("uniquepid,patientunitstayid" + "".join(f"\nn/a,{1000 - i}" for i in range(n)) + end)
+        return layout
+
+    with pytest.raises(FileNotFoundError):
+        I.sync_row_offsets(spark, layout)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100")  # many splits, cut inside lines
+    try:
+        assert I.sync_row_offsets(spark, grown(0)) == 0
+        assert I.sync_row_offsets(spark, grown(300)) == 300
+        assert I.sync_row_offsets(spark, grown(300, "")) == 0
+        assert I.sync_row_offsets(spark, grown(7)) == 0
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "333")
+        assert I.sync_row_offsets(spark, grown(450)) == 150
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    stored = files.read_table(spark, layout.bronze).select(I.SOURCE_ROW, "patientunitstayid", "uniquepid").collect()
+    assert sorted(map(tuple, stored)) == [(i + 1, str(1000 - i), None) for i in range(450)]
+    several = tmp_path / "several"
+    spark.range(4).repartition(2).write.option("header", True).csv(str(several))
+    with pytest.raises(ValueError, match="one file"):
+        files.number_rows(spark, str(several), S.text_schema(["id"]), "n")
+
+
 def test_restart_changes_nothing_and_new_files_are_merged(spark, tmp_path):
     source, root = str(tmp_path / "source"), str(tmp_path / "root")
     put(spark, source, visit(), visit(), visit(patientunitstayid="2", hospitalid="61"))

@@ -285,6 +285,26 @@ def incremental_rows(spark, sf_dir):
     return stored.groupBy("_airbyte_emitted_at").agg(F.count(F.lit(1)).alias("rows"))
 
 
+@query(
+    "incremental_row_offsets",
+    f"WITH {O.RAW} SELECT CASE WHEN _o1 <= 60 THEN '{_FIRST}' ELSE '{_SECOND}' END AS _airbyte_emitted_at, patientunitstayid, "
+    "uniquepid, row_number() OVER (ORDER BY _o1 > 60, _o1, patientunitstayid, uniquepid) AS source_row FROM raw",
+)
+def incremental_row_offsets(spark, sf_dir):
+    """Two syncs of one growing file without an order column: rows keep the place they have in the file."""
+    root = _fresh(spark)
+    raw = V.visits_raw(spark, sf_dir)
+    for now, rows in ((_FIRST, raw.where("_o1 <= 60")), (_SECOND, raw)):
+        source = f"{root}/source-{now[:10]}"
+        ordered = rows.repartition(1).sortWithinPartitions(F.col("_o1") > 60, "_o1", "patientunitstayid", "uniquepid")
+        _source_csv(ordered, source)
+        I.sync_row_offsets(spark, I.Layout(source, root, now, max_rows=1_000_000))
+    stored = files.read_table(spark, I.Layout("", root, _SECOND).bronze)
+    return stored.select(
+        "_airbyte_emitted_at", "patientunitstayid", "uniquepid", F.col(I.SOURCE_ROW).alias("source_row")
+    )
+
+
 @query(
     "stage_counts",
     f"""WITH {O.RAW}, kept AS (SELECT DISTINCT patientunitstayid, patienthealthsystemstayid, hospitalid, wardid, uniquepid FROM raw)

@@ -19,13 +19,14 @@ from visitmart.operators.shape import ensure_columns, rows_after
 from visitmart.operators.silver import latest_silver, to_silver
 from visitmart.sources import sinks
 from visitmart.sources.buckets import BucketStore, touched_buckets
-from visitmart.sources.files import read_silver, read_silver_tables, read_table, read_visits_csv
+from visitmart.sources.files import number_rows, read_silver, read_silver_tables, read_table, read_visits_csv
 from visitmart.sources.paths import has_files, remove
 from visitmart.streaming.gold_state import apply_changes
 from visitmart.streaming.quality_state import add_batch, run_report
 
 # Raw rows of one hash differ in their content only, so its digest makes the order total.
 CONTENT = "_content"
+SOURCE_ROW = "_source_row"
 BRONZE_ORDER = ["_airbyte_emitted_at", CONTENT]
 
 
@@ -141,6 +142,21 @@ def sync_rows_after(spark: SparkSession, layout: Layout, order: str) -> int:
     """
     schema = S.text_schema(S.SOURCE_COLUMNS + S.OPTIONAL_COLUMNS + [order])
     source = read_visits_csv(spark, layout.source, schema).withColumn(order, F.col(order).cast("long"))
+    return _append_after(spark, layout, source, order)
+
+
+def sync_row_offsets(spark: SparkSession, layout: Layout) -> int:
+    """Append the rows of one growing CSV file beyond those in Bronze, by their place in the file. Returns their number.
+
+    The file needs no order column. The place is kept in Bronze as ``_source_row``, which is the only state: a file
+    cut short gives no rows, and a run after a crash takes up where the rows in Bronze end.
+    """
+    schema = S.text_schema(S.SOURCE_COLUMNS + S.OPTIONAL_COLUMNS)
+    source = number_rows(spark, layout.source, schema, SOURCE_ROW).select(*schema.names, SOURCE_ROW)
+    return _append_after(spark, layout, source, SOURCE_ROW)
+
+
+def _append_after(spark: SparkSession, layout: Layout, source: DataFrame, order: str) -> int:
     last = None
     if has_files(spark, layout.bronze):
         last = read_table(spark, layout.bronze).agg(F.max(order)).first()[0]
