@@ -45,6 +45,16 @@ def csv_source(spark, sf_dir):
     return files.read_visits_csv(spark, path).select(*_TEXT, "glucose")
 
 
+@query("optional_source", f"WITH {O.RAW} SELECT {', '.join(f'{c}::VARCHAR AS {c}' for c in _TEXT)} FROM raw")
+def optional_source(spark, sf_dir):
+    """A stored table followed by one that was never written: the latter has the schema and no rows."""
+    path = _fresh(spark)
+    stored = V.visits_raw(spark, sf_dir).select([F.col(c).cast("string").alias(c) for c in _TEXT])
+    stored.write.parquet(f"{path}/there")
+    there, absent = (files.read_or_empty(spark, f"{path}/{name}", stored.schema) for name in ("there", "absent"))
+    return there.unionByName(absent)
+
+
 @query(
     "raw_envelope",
     f"WITH {O.RAW} SELECT '{_FIRST}' AS _airbyte_emitted_at, 'ehr_visits' AS _airbyte_stream, patientunitstayid, "

@@ -6,13 +6,15 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from visitmart.operators import evaluation as E
 from visitmart.operators import final
 from visitmart.operators import retrieval as R
 from visitmart.operators import text_index as X
+from visitmart.plans import model_queries  # noqa: F401  (its SQL is used again here)
 from visitmart.plans import oracle as O
 from visitmart.plans import visits as V
 from visitmart.plans.gold_queries import DRIVER_SQL, REASON_SQL
-from visitmart.plans.registry import query, rounded
+from visitmart.plans.registry import SQL, query, rounded
 from visitmart.session import materialise, shared_dir
 
 STOP = "the of and to in is it that this for with on as by an at be from or are was".split()
@@ -180,6 +182,23 @@ def evidence_chunks(spark, sf_dir):
     return _chunks(spark, sf_dir)
 
 
+@query(
+    "metrics_chunk",
+    f"""SELECT 400001::BIGINT AS chunk_id, 'readmission_model_metrics.json' AS source, 'model_metrics' || ' roc_auc=' || round(roc_auc, 6)
+      || ' pr_auc=' || round(average_precision, 6) || ' accuracy=' || round(accuracy, 6) || ' precision=' || round(precision, 6)
+      || ' recall=' || round(recall, 6) || ' f1=' || round(f1, 6) || ' selected_model=score tn=' || tn || ' fp=' || fp
+      || ' fn=' || fn || ' tp=' || tp AS text FROM ({SQL["ranking_quality"]}), ({SQL["classification_metrics"]})""",
+)
+def metrics_chunk(spark, sf_dir):
+    """The chunk on metrics, of the derived score at 0.45 over all visits."""
+    scored = V.scored(spark, sf_dir)
+    ranking = rounded(E.ranking_quality(E.score_curve(scored)), 6)
+    at = rounded(E.classification_metrics(scored, 0.45), 6)
+    one = ranking.withColumn("one", F.lit(1)).join(at.withColumn("one", F.lit(1)), "one")
+    named = one.withColumns({"pr_auc": F.col("average_precision"), "selected_model": F.lit("score")})
+    return R.render_chunks(spark, metrics=named)
+
+
 _ASK = "Which lace_band has the highest readmission_30d_rate_pct for Brand#11 patients"
 
 
