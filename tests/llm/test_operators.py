@@ -323,6 +323,52 @@ def test_held_out_accuracy(spark, operator, label, least):
     assert sum(a == b for a, b in rows) / len(rows) >= least
 
 
+@pytest.mark.parametrize("operator,label", [(fm, "quality"), (toxicity, "toxic")])
+def test_an_id_of_many_rows_is_fitted_within_the_bound(spark, operator, label, monkeypatch):
+    importable(spark)
+    df = spark.createDataFrame([(1, prose(k, 6)) for k in range(400)] + [(k, prose(k, 6)) for k in range(2, 40)], "doc_id long, text string")
+    marks = spark.createDataFrame([(k, k % 2) for k in range(1, 40)], f"doc_id long, {label} int")
+    sizes = []
+    plain = operator.fit
+    monkeypatch.setattr(operator, "fit", lambda *a, **k: (sizes.append(len(a[-1])), plain(*a, **k))[1])
+    models = [operator.train(df.repartition(n), marks, most=25) for n in (2, 5)]
+    assert sizes and max(sizes) <= 25
+    one, two = ({r.doc_id: r.score for r in operator.score(df.where("doc_id > 1"), m).collect()} for m in models)
+    assert one == pytest.approx(two, abs=1e-6)
+
+
+def test_every_trigram_of_long_words_is_read():
+    r = random.Random(8)
+    line = ["".join(r.choice("abcdXé日") for _ in range(n)) for n in (1, 2, 7, 8, 9, 16, 17, 24, 25, 300)]
+    column = pa.array([" ".join(line), "", line[-1]])
+    data, starts = wordhash.text_bytes(column)
+    got = toxicity.tokens(wordhash.words(data, starts), data)
+    assert got.first.tolist() == [0, got.first[1], got.first[1], len(got.hash)]
+    for number, word in enumerate([*line, line[-1]]):
+        raw = [256, *(b + 32 * (65 <= b <= 90) for b in word.encode()), 257]
+        codes = [(a * 260 + b) * 260 + c for a, b, c in zip(raw, raw[1:], raw[2:])]
+        want = {int(wordhash.mix(np.array([c], np.uint64))[0] % toxicity.TRIGRAMS) for c in codes}
+        assert set(got.grams[got.word == number].ravel().tolist()) == want
+
+
+def test_a_stem_anywhere_in_a_text_without_blanks_changes_its_score(spark):
+    r = random.Random(9)
+    noise = "".join(r.choice("bcdfgaeiou") for _ in range(300))
+    net = toxicity.new_net(np.zeros(0, np.uint64), np.zeros(0))  # unfitted weights tell inputs apart as well
+    put = [(k, noise[:k] + "zxqvkw" + noise[k + 6 :]) for k in range(0, 295, 7)]
+    df = spark.createDataFrame([(-1, noise), (-2, noise), *put], "doc_id long, text string")
+    scores = {row.doc_id: (row.score, row.windows, row.worst_word) for row in toxicity.score(df, net).collect()}
+    assert scores.pop(-1) == scores[-2]
+    plain = scores.pop(-2)
+    # a text's score is its highest window's: a stem may leave it as it is only where another window is higher
+    assert plain[1:] == (2, 0) and all(v[1:] == (2, 0) for v in scores.values())
+    assert sum(v[0] != plain[0] for v in scores.values()) >= len(put) // 2
+    data, starts = wordhash.text_bytes(pa.array([noise, *(t for _, t in put)]))
+    token = toxicity.tokens(wordhash.words(data, starts), data)
+    each = [token.grams[a:b].tobytes() for a, b in zip(token.first, token.first[1:])]
+    assert len(set(each)) == len(each)
+
+
 def test_windows_overlap_and_cover():
     first = np.array([0, 0, 5, 37, 137])
     row, begin, size = toxicity.cut(first)

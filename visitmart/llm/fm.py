@@ -172,7 +172,8 @@ def _inputs(docs: DataFrame) -> list[str]:
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = 8000) -> Machine:
     """Fit on at most ``most`` labelled rows outside the held-out fifth, taken in the order of a hash of their id.
 
-    Rows with null id or label take no part. Without any labelled row all scores are one half.
+    Rows with null id or label take no part; an id that many rows have adds rows up to ``most``, the least by their
+    features. Without any labelled row all scores are one half.
     """
     sample = (
         labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
@@ -180,7 +181,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int
         .orderBy(F.xxhash64("doc_id"), "doc_id", "label")
         .limit(most)
     )
-    rows = docs.select(_inputs(docs)).join(F.broadcast(sample), "doc_id")  # at most ``most`` rows are sent
+    rows = docs.select(_inputs(docs)).join(F.broadcast(sample), "doc_id")  # more than ``most``, if ids repeat
 
     def run(batches):
         for part, (edge, ids, x) in _featured(batches):
@@ -189,7 +190,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int
                 [part.column("doc_id"), part.column("label"), *lists], names=["doc_id", "label", "ids", "x"]
             )
 
-    got = rows.mapInArrow(run, "doc_id long, label int, ids array<int>, x array<float>").toArrow().combine_chunks()
+    read = rows.mapInArrow(run, "doc_id long, label int, ids array<int>, x array<float>")
+    got = read.orderBy(F.xxhash64("doc_id"), "doc_id", "label", "ids", "x").limit(most).toArrow().combine_chunks()
     if not got.num_rows:
         return Machine(0.0, np.zeros(FEATURES, np.float32), np.zeros((FEATURES, FACTORS), np.float32))
     got = got.sort_by([("doc_id", "ascending"), ("label", "ascending")]).combine_chunks()
@@ -215,7 +217,7 @@ def score(docs: DataFrame, machine: Machine, threshold: float = 0.3) -> DataFram
 
 
 def good_documents(docs: DataFrame, machine: Machine, threshold: float = 0.3) -> DataFrame:
-    """The rows of ``docs`` that score at least ``threshold``, all columns unchanged."""
+    """The rows of ``docs`` that score at least ``threshold``, all columns unchanged; null and empty texts are scored, too."""
     sent = docs.sparkSession.sparkContext.broadcast(machine)
 
     def run(batches):

@@ -1,7 +1,8 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, in numpy.
 
 A word's input is its own vector, if it was frequent enough in training, beside the mean vector of its
-first and last character trigrams. Windows of ``WINDOW`` words overlap; every window of a text is scored,
+first and last character trigrams. A word of more than ``PARTS`` bytes is followed by overlapping pieces of itself
+that hold all its other trigrams, so a text without blanks is read whole, too. Windows of ``WINDOW`` words and pieces overlap; every window of a text is scored,
 and the text's score comes from its highest window. Labels are of whole texts, so in training a toxic
 text gives the windows whose words speak most for the label, and the other texts give any windows.
 Fitted by Adam on a bounded sample of labelled rows; all rows are scored.
@@ -26,22 +27,46 @@ LEAST_TEXTS = 8  # a word in fewer sampled texts has no vector of its own
 SPEAKS = 1.5  # log ratio from which a word speaks for the label
 
 
-def trigrams(found: Words, data: np.ndarray) -> np.ndarray:
-    """Buckets of the first five and last three trigrams of each word, with its borders marked."""
+@dataclass
+class Tokens:
+    """hash, trigram buckets and word number of each word and piece; first[i]: number of the first one of text i."""
+
+    hash: np.ndarray
+    grams: np.ndarray
+    word: np.ndarray
+    first: np.ndarray
+
+
+def tokens(found: Words, data: np.ndarray) -> Tokens:
+    """Words with the buckets of their first five and last three trigrams, long ones followed by their pieces.
+
+    A trigram has its middle at one byte of the word, and the word's borders are marked. A piece holds ``PARTS``
+    neighbouring trigrams; the last piece of a word reaches back so that it is full.
+    """
     size = found.end - found.start
+    count = 1 + -(-np.maximum(size - PARTS, 0) // PARTS)
+    edge = np.concatenate([[0], np.cumsum(count)])
+    word = np.repeat(np.arange(len(size)), count)
+    piece = np.arange(len(word)) - edge[word]
+    start, end = found.start[word], found.end[word]
 
     def byte(at: np.ndarray) -> np.ndarray:
-        inside = (at >= found.start) & (at < found.end)
-        b = data[np.where(inside, at, found.start)].astype(np.int64)
+        inside = (at >= start) & (at < end)
+        b = data[np.where(inside, at, start)].astype(np.int64)
         b += 0x20 * ((b >= 0x41) & (b <= 0x5A))
-        return np.where(inside, b, np.where(at < found.start, 256, 257))
+        return np.where(inside, b, np.where(at < start, 256, 257))
 
-    out = np.empty((len(size), PARTS), dtype=np.int16)
+    low = np.minimum(HEAD + (piece - 1) * PARTS, end - start - PARTS)
+    grams = np.empty((len(word), PARTS), dtype=np.int16)
+    name = np.zeros(len(word), dtype=np.uint64)
     for k in range(PARTS):
-        middle = found.start + np.minimum(k, size - 1) if k < HEAD else found.end - 1 - np.minimum(k - HEAD, size - 1)
+        ends = np.minimum(k, end - start - 1) if k < HEAD else end - start - 1 - np.minimum(k - HEAD, end - start - 1)
+        middle = start + np.where(piece == 0, ends, low + k)
         code = (byte(middle - 1) * 260 + byte(middle)) * 260 + byte(middle + 1)
-        out[:, k] = (mix(code.astype(np.uint64)) % np.uint64(TRIGRAMS)).astype(np.int16)
-    return out
+        mixed = mix(code.astype(np.uint64))
+        grams[:, k] = (mixed % np.uint64(TRIGRAMS)).astype(np.int16)
+        name = mix(name * np.uint64(0x9FB21C651E98DF25) + mixed)
+    return Tokens(np.where(piece == 0, found.hash[word], name), grams, word, edge[found.first])
 
 
 def cut(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -202,7 +227,10 @@ def _highest(net: Net, word: np.ndarray, grams: np.ndarray, first: np.ndarray) -
     """Logit of every window, its text and its first word."""
     row, begin, size = cut(first)
     distinct, at, inverse = np.unique(word, return_index=True, return_inverse=True)
-    table = net.inputs(net.ids(distinct), grams[at]) @ net.p["in"] + net.p["in_b"] if len(word) else np.zeros((1, 6 * HIDDEN), np.float32)
+    table = np.zeros((max(len(distinct), 1), 6 * HIDDEN), np.float32)
+    for low in range(0, len(distinct), 1 << 15):
+        part = slice(low, low + (1 << 15))
+        table[part] = net.inputs(net.ids(distinct[part]), grams[at[part]]) @ net.p["in"] + net.p["in_b"]
     out = np.empty(len(row), np.float32)
     for low in range(0, len(row), 4096):
         b, s = begin[low : low + 4096, None], size[low : low + 4096, None]
@@ -220,8 +248,9 @@ def held_out(doc_id):
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = 3000, most_words: int = 4096) -> Net:
     """Fit on at most ``most`` labelled rows outside the held-out fifth, in the order of a hash of their id.
 
-    At most ``most_words`` words of a row are fitted to, from evenly spread windows of a longer one. Rows with null id
-    or label take no part; without rows of both labels all scores follow from the few rows there are.
+    At most ``most_words`` words and pieces of a row are fitted to, from evenly spread windows of a longer one. Rows with
+    null id or label take no part; an id that many rows have adds rows up to ``most``, the least by their words. Without
+    rows of both labels all scores follow from the few rows there are.
     """
     sample = (
         labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
@@ -229,25 +258,26 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int =
         .orderBy(F.xxhash64("doc_id"), "doc_id", "label")
         .limit(most)
     )
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # at most ``most`` rows are sent
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # more than ``most``, if ids repeat
 
     def run(batches):
         for part, found, data, _ in texts(batches):
-            grams = trigrams(found, data)
+            token = tokens(found, data)
             blobs = []
-            for a, b in zip(found.first[:-1], found.first[1:]):
+            for a, b in zip(token.first[:-1], token.first[1:]):
                 pick = np.arange(a, b)
                 if b - a > most_words:
                     starts = np.linspace(a, b - WINDOW, most_words // WINDOW).astype(np.int64)
                     pick = (starts[:, None] + np.arange(WINDOW)).ravel()
-                blobs.append((found.hash[pick].tobytes(), grams[pick].tobytes()))
+                blobs.append((token.hash[pick].tobytes(), token.grams[pick].tobytes()))
             word, gram = ([x[k] for x in blobs] for k in (0, 1))
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), part.column("label"), pa.array(word, pa.binary()), pa.array(gram, pa.binary())],
                 names=["doc_id", "label", "word", "gram"],
             )
 
-    got = rows.mapInArrow(run, "doc_id long, label int, word binary, gram binary").toArrow()
+    read = rows.mapInArrow(run, "doc_id long, label int, word binary, gram binary")
+    got = read.orderBy(F.xxhash64("doc_id"), "doc_id", "label", "word", "gram").limit(most).toArrow()
     got = got.sort_by([("doc_id", "ascending"), ("label", "ascending"), ("word", "ascending")])
     label_ = np.array(got.column("label").to_pylist(), dtype=np.int64)
     word = [np.frombuffer(b, np.uint64) for b in got.column("word").to_pylist()]
@@ -302,16 +332,23 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int =
 def score(docs: DataFrame, net: Net, threshold: float = 0.5) -> DataFrame:
     """doc_id, score, predicted (1 from ``threshold`` on), windows and worst_word (first word of the highest window) of every row.
 
-    All overlapping windows of the whole text are scored. Null and empty texts have one empty window.
+    All overlapping windows of the whole text are scored, and every trigram of it is in one. Null and empty texts have
+    one empty window; equal texts have equal scores.
     """
     sent = docs.sparkSession.sparkContext.broadcast(net)  # its size follows from the bounded sample
 
     def run(batches):
         own = sent.value
         for part, found, data, _ in texts(batches):
-            logit, row, begin = _highest(own, found.hash, trigrams(found, data).astype(np.int64), found.first)
+            token = tokens(found, data)
+            logit, row, begin = _highest(own, token.hash, token.grams, token.first)
             order = np.lexsort((begin, -logit, row))
             lead = order[np.searchsorted(row[order], np.arange(part.num_rows))]
+            # number of the word that the window begins with, or begins inside
+            at = (token.first[:-1] + begin[lead])[np.diff(token.first) > 0]
+            worst = np.zeros(part.num_rows, dtype=np.int64)
+            worst[np.diff(token.first) > 0] = token.word[at]
+            worst -= np.where(np.diff(token.first) > 0, found.first[:-1], 0)
             p = _sigmoid(own.slope * np.clip(logit[lead], -12, 12).astype(np.float64) + own.shift)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -319,7 +356,7 @@ def score(docs: DataFrame, net: Net, threshold: float = 0.5) -> DataFrame:
                     pa.array(p),
                     pa.array((p >= threshold).astype(np.int32)),
                     pa.array(np.bincount(row, minlength=part.num_rows).astype(np.int32)),
-                    pa.array(begin[lead].astype(np.int64)),
+                    pa.array(worst),
                 ],
                 names=["doc_id", "score", "predicted", "windows", "worst_word"],
             )
