@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from visitmart import schema as S
 from visitmart.operators import cohort as C
 from visitmart.operators import quality as Q
+from visitmart.operators import sketches as K
 from visitmart.operators.ordered import box_stats, exact_quantiles, histogram, median
 from visitmart.plans import oracle as O
 from visitmart.plans import visits as V
 from visitmart.plans.registry import query, rounded
+from visitmart.session import materialise
 
 RATE = O.r("avg(readmitted_under_30_days) * 100e0")
 
@@ -206,6 +210,61 @@ def stay_box_stats(spark, sf_dir):
     return rounded(box_stats(V.cohort(spark, sf_dir), ["los"], S.TARGET))
 
 
+_MEASURES = [*S.LAB_COLUMNS, "los"]
+_POINTS = 20  # few, so that the error shows on small tables as well
+_SKETCHES = (
+    O.COHORT
+    + ", long AS ("
+    + " UNION ALL ".join(
+        f"SELECT strftime(admit_month, '%Y-%m') AS month, '{c}' AS measure, {c}::DOUBLE AS value FROM cohort WHERE {c} IS NOT NULL"
+        for c in _MEASURES
+    )
+    + f"""), ranked AS (
+      SELECT month, measure, value, n, ((sum(n) OVER (PARTITION BY month, measure ORDER BY value) - n) * {_POINTS})
+        // sum(n) OVER (PARTITION BY month, measure) AS cut
+      FROM (SELECT month, measure, value, count(*) AS n FROM long GROUP BY ALL)),
+    sketch AS (SELECT month, measure, max(value) AS value, sum(n)::BIGINT AS n FROM ranked GROUP BY month, measure, cut)"""
+)
+
+
+def _by_month(spark, sf_dir):
+    visits = V.cohort(spark, sf_dir).select(
+        F.date_format("admit_month", "yyyy-MM").alias("month"), *[F.col(c).cast("double").alias(c) for c in _MEASURES]
+    )
+    return visits.unpivot(["month"], _MEASURES, "measure", "value")
+
+
+@query("rank_sketches", f"{_SKETCHES} SELECT * FROM sketch")
+def rank_sketches(spark, sf_dir):
+    return K.rank_sketch(_by_month(spark, sf_dir), "value", ["month", "measure"], _POINTS)
+
+
+@query(
+    "sketch_quantiles",
+    f"""{_SKETCHES}, upto AS (
+      SELECT measure, value, sum(n) OVER (PARTITION BY measure ORDER BY value) AS upto, sum(n) OVER (PARTITION BY measure) AS total
+      FROM (SELECT measure, value, sum(n) AS n FROM sketch GROUP BY ALL))
+    SELECT measure, max(total)::BIGINT AS n, {O.r(f"max(total)::DOUBLE / {_POINTS}e0")} AS rank_error,
+      {", ".join(f"{O.r(f'min(value) FILTER (upto >= greatest(1, ceil({q}e0 * total::DOUBLE)))')} AS {name}"
+                 for name, q in (("p10", 0.1), ("median", 0.5), ("p90", 0.9)))},
+      true AS within
+    FROM upto GROUP BY measure""",
+)
+def sketch_quantiles(spark, sf_dir):
+    """Quantiles of all months from the months' sketches, and whether the rows themselves have them within the bound."""
+    rows = materialise(_by_month(spark, sf_dir).where("value IS NOT NULL"))
+    shares = {"p10": 0.1, "median": 0.5, "p90": 0.9}
+    told = materialise(K.sketch_quantiles(K.rank_sketch(rows, "value", ["month", "measure"], _POINTS), shares, ["measure"], _POINTS))
+    both = rows.groupBy("measure", "value").agg(F.count("*").alias("k")).join(told, "measure")
+    holds = F.lit(True)
+    for name, share in shares.items():
+        rank = F.greatest(F.lit(1), F.ceil(F.lit(share) * F.first("n")))
+        upto, below = (F.sum(F.when(c, F.col("k")).otherwise(0)) for c in (F.col("value") <= F.col(name), F.col("value") < F.col(name)))
+        holds = holds & (upto >= rank) & (below < rank + F.first("rank_error"))
+    checked = both.groupBy("measure").agg(holds.alias("within"))
+    return rounded(told.join(checked, "measure"))
+
+
 @query(
     "risk_deciles_by_hospital",
     f"""{O.COHORT} SELECT hospitalid, count(*) AS n, {O.r('min(risk_score_live)')} AS least, {O.r('max(risk_score_live)')} AS greatest,
