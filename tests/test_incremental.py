@@ -200,3 +200,18 @@ def test_files_of_different_headers_are_united_by_name(spark, tmp_path):
     layout = I.Layout(str(source), str(tmp_path / "root"), "2024-03-01T06:00:00+00:00", max_files=1)
     assert I.run_all(spark, layout) == {"bronze": 2, "silver": 2, "gold": 2, "final": 2}
     assert I.run_all(spark, layout)["bronze"] == 2
+
+
+def test_a_batch_moves_no_envelope_and_leaves_no_cache(spark, tmp_path, monkeypatch):
+    source, root = str(tmp_path / "source"), str(tmp_path / "root")
+    put(spark, source, visit(), visit(patientunitstayid="2"))
+    layout, seen = I.Layout(source, root, DAY1), []
+    write = sinks.write_wide_silver
+    monkeypatch.setattr(sinks, "write_wide_silver", lambda wide, *a, **k: (seen.extend(wide.columns), write(wide, *a, **k)))
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    assert I.run_all(spark, layout) == {"bronze": 2, "silver": 2, "gold": 2, "final": 2}
+    assert I.CONTENT in seen and not {"_airbyte_data", "_airbyte_ab_id"} & set(seen)
+    assert spark.conf.get(name) == before
+    assert paths.children(spark, f"{layout.silver}_spool") == [] and paths.children(spark, f"{layout.gold}/_spool") == []
+    assert any(".zstd." in path for path in files.read_table(spark, layout.silver).inputFiles())
