@@ -93,3 +93,17 @@ def test_no_exchange_carries_a_text_and_retrieval_reads_none(spark, sf, tmp_path
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", physical(answer))
     assert schemas and not any("text:" in s for s in schemas if "key" in s or "weight" in s or "greatest" in s)
     assert not re.search("Python|Cartesian|NestedLoop", physical(answer))
+
+
+def test_texts_are_dealt_by_their_length(spark, monkeypatch):
+    from visitmart.operators import retrieval as R
+
+    rows = [(k, "one two three " * 40, k) for k in (1, 2, 3, 4, None, 4)] + [(5, None, 5)]
+    df = spark.createDataFrame(rows, "id long, text string, more long")
+    whole = R.term_counts(R.tokenize(df, "id", "text", []), "id")
+    monkeypatch.setattr(R, "TASK_LETTERS", 300)
+    assert R.text_tasks(df, "text") == 12 and R.tokenize(df, "id", "text", []).rdd.getNumPartitions() == 12
+    parts = R.term_counts(R.tokenize(df, "id", "text", []), "id")
+    assert sorted(map(str, whole.collect())) == sorted(map(str, parts.collect()))
+    assert {r.tf for r in parts.where("id = 4 AND term = 'one two'").collect()} == {80}
+    assert R.text_tasks(df.limit(0), "text") == 1

@@ -13,25 +13,35 @@ from visitmart.operators.shape import union_all
 # Fixed pattern: a token is a run of two or more letters, digits or underscores.
 TOKEN = r"[\p{L}\p{N}_]{2,}"
 MAX_FEATURES = 20_000
+# A task takes apart about so many letters, which bounds its terms.
+TASK_LETTERS = 4_000_000
 
 
 def default_stop_words() -> list[str]:
     return StopWordsRemover.loadDefaultStopWords("english")
 
 
+def text_tasks(df: DataFrame, text: str) -> int:
+    """How many tasks the texts are dealt to: by their length, since terms take many times the room of a packed text."""
+    letters = df.agg(F.sum(F.length(text).cast("long"))).first()[0] or 0
+    spread = min(df.sparkSession.sparkContext.defaultParallelism, letters // 100_000)
+    return max(1, spread, -(-letters // TASK_LETTERS))
+
+
 def tokenize(df: DataFrame, key: str, text: str, stop_words: list[str] | None = None) -> DataFrame:
     """One row per token and per pair of neighbouring tokens, stop words taken out first.
 
     A row without any token stays, with a null term. The texts are partitioned by
     key before they are taken apart: later steps that count per text then
-    need no shuffle of the many terms.
+    need no shuffle of the many terms. The number of parts follows from the letters of all texts (one pass over
+    them), so the terms that a task counts stay in its memory.
     """
     stop = default_stop_words() if stop_words is None else stop_words
     listed = ", ".join("'" + word.replace("'", "\\'") + "'" for word in stop)
     kept = f"filter(_all, w -> w NOT IN ({listed}))" if stop else "_all"
     return (
         df.select(key, text)
-        .repartition(F.col(key))
+        .repartition(text_tasks(df, text), F.col(key))
         .select(key, F.expr(f"regexp_extract_all(lower({text}), r'{TOKEN}', 0)").alias("_all"))
         .select(key, F.expr(kept).alias("_w"))
         .select(
