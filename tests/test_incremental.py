@@ -215,3 +215,18 @@ def test_a_batch_moves_no_envelope_and_leaves_no_cache(spark, tmp_path, monkeypa
     assert spark.conf.get(name) == before
     assert paths.children(spark, f"{layout.silver}_spool") == [] and paths.children(spark, f"{layout.gold}/_spool") == []
     assert any(".zstd." in path for path in files.read_table(spark, layout.silver).inputFiles())
+
+
+def test_batches_follow_source_files_not_rows(spark, tmp_path, monkeypatch):
+    source, root = str(tmp_path / "source"), str(tmp_path / "root")
+    for day in range(2):
+        put(spark, source, *[visit(patientunitstayid=str(10 * day + i)) for i in range(1, 8)])
+    layout = I.Layout(source, root, DAY1, max_rows=2, max_files=1)
+    I.sync_new_files(spark, layout)
+    stored = files.read_table(spark, layout.bronze)
+    assert len(stored.inputFiles()) > 4 and stored.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] <= 2
+    numbers, write = [], I.write_silver_batch
+    monkeypatch.setattr(I, "write_silver_batch", lambda batch, number, where: (numbers.append(number), write(batch, number, where)))
+    sources = len(list((tmp_path / "source").glob("*.csv")))
+    assert I.bronze_to_silver(spark, layout) == 14
+    assert len(numbers) <= sources < len(stored.inputFiles())
