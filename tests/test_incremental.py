@@ -230,3 +230,16 @@ def test_batches_follow_source_files_not_rows(spark, tmp_path, monkeypatch):
     sources = len(list((tmp_path / "source").glob("*.csv")))
     assert I.bronze_to_silver(spark, layout) == 14
     assert len(numbers) <= sources < len(stored.inputFiles())
+
+
+def test_growing_file_in_parts(spark, tmp_path):
+    root = str(tmp_path / "root")
+    for n in (50, 120):
+        rows = spark.range(n).selectExpr("CAST(id AS STRING) AS patientunitstayid", "'p' AS uniquepid", "id AS at")
+        folder = str(tmp_path / f"source{n}")
+        sinks.write_csv(I.complete_source(rows.repartitionByRange(5, "at").sortWithinPartitions("at").drop("at")), folder)
+        assert len(list((tmp_path / f"source{n}").glob("part-*.csv"))) == 5
+        layout = I.Layout(folder, root, DAY1)
+        assert I.sync_row_offsets(spark, layout, parts=True) == min(n, 70)
+    stored = files.read_table(spark, layout.bronze).select(I.SOURCE_ROW, "patientunitstayid").collect()
+    assert sorted(map(tuple, stored)) == [(i + 1, str(i)) for i in range(120)]
