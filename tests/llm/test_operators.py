@@ -262,6 +262,33 @@ def test_components_equal_all_pairs(spark, rows, monkeypatch, frequent, n, perce
     assert got == plain_components(all_rows, n, percent)
 
 
+def test_links_are_contracted_once(spark, monkeypatch):
+    """Components grow by new links between them; links that are in them are not gone through again."""
+    importable(spark)
+    texts = near_copies(8, 260, 120, 5)
+    calls = []
+
+    def spy(edges):
+        calls.append({tuple(sorted(e)) for e in edges.collect()})
+        return components(edges)
+
+    monkeypatch.setattr(jaccard, "components", spy)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = Counter(tuple(r) for r in jaccard.jaccard_components(df).collect())
+    assert got == plain_components(list(enumerate(texts)), 4, 85)
+    found = [c for c in calls if c]
+    assert len(found) > 1 and sum(map(len, found)) == len(set().union(*found))
+
+
+def test_linked_components_keep_all_nodes(spark):
+    known = spark.createDataFrame([(1, 2), (2, 2), (3, 3), (4, 3), (9, 9)], "node long, comp long")
+    more = spark.createDataFrame([(2, 3), (3, 7), (7, 2), (20, 21)], "a long, b long")
+    rows = jaccard._linked(known, more).collect()
+    names = {r.node: r.comp for r in rows}
+    assert len(rows) == len(names) == 8 and len({names[i] for i in (1, 2, 3, 4, 7)}) == 1
+    assert names[20] == names[21] and len({names[1], names[9], names[20]}) == 3
+
+
 def test_one_of_each_group_stays(spark, docs, rows, none):
     kept = jaccard.one_of_each_group(docs)
     assert kept.columns == docs.columns

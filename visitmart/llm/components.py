@@ -11,8 +11,8 @@ from visitmart.llm.shared import stored
 def components(edges: DataFrame) -> DataFrame:
     """node and comp (a node of its component) of every node of ``edges`` (a, b), both long.
 
-    Each round a node moves to the neighbour, or itself, that a hash of the round puts first, and the edges
-    between moved nodes go on; the number of nodes falls by a constant factor, so rounds grow with its logarithm.
+    Each round a node moves to the neighbour, or itself, that a hash of the round puts first, and on to where that one
+    moves, and the edges between moved nodes go on; the number of nodes falls by a constant factor, so rounds grow with its logarithm.
     No edges give no rows; loops and repeated edges change nothing.
     """
     moves: list[DataFrame] = []
@@ -22,7 +22,9 @@ def components(edges: DataFrame) -> DataFrame:
         place = lambda c: F.struct(F.xxhash64(F.lit(turn), F.col(c)).alias("h"), F.col(c).alias("id"))  # noqa: B023, E731
         both = left.select(F.col("a").alias("v"), F.col("b").alias("u")).union(left.select("b", "a"))
         best = both.groupBy("v").agg(F.min(place("u")).alias("n"))
-        move = stored(best.select("v", F.least("n", place("v"))["id"].alias("to")), "moves")
+        near = best.select("v", F.least("n", place("v"))["id"].alias("to"))
+        far = near.select(F.col("v").alias("to"), F.col("to").alias("far"))
+        move = stored(near.join(far, "to").select("v", F.col("far").alias("to")), "moves")
         moves.append(move)
         new_a = move.select(F.col("v").alias("a"), F.col("to").alias("to_a"))
         new_b = move.select(F.col("v").alias("b"), F.col("to").alias("to_b"))

@@ -325,16 +325,30 @@ def _bit_is_set(bits: np.ndarray, place: np.ndarray) -> np.ndarray:
 
 
 def _verify(held: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose sets, in ``held``, are similar."""
+    """Those of ``pairs`` (a, b, ...) whose sets, in ``held``, are similar."""
     left = held.select(F.col("set_id").alias("a"), F.col("tokens").alias("a_tokens"))
     right = held.select(F.col("set_id").alias("b"), F.col("tokens").alias("b_tokens"))
     both = F.size(F.array_intersect("a_tokens", "b_tokens"))
     compared = (
         pairs.join(right, "b")
         .join(left, "a")
-        .select("a", "b", both.alias("both"), (F.size("a_tokens") + F.size("b_tokens")).alias("n"))
+        .select(*pairs.columns, both.alias("both"), (F.size("a_tokens") + F.size("b_tokens")).alias("n"))
     )
-    return stored(compared.where(F.col("both") * 100 >= (F.col("n") - F.col("both")) * percent).select("a", "b"), "links")
+    return stored(compared.where(F.col("both") * 100 >= (F.col("n") - F.col("both")) * percent).select(pairs.columns), "links")
+
+
+def _by_set(rows: DataFrame, *more: str) -> DataFrame:
+    """One row per set of ``rows`` (sig, set_id, n, ...), with its buckets as ``sigs``; ``more`` columns follow from the set."""
+    same = [F.first(c).alias(c) for c in ("n", *more)]
+    return rows.groupBy("set_id").agg(*same, F.collect_list("sig").alias("sigs"))
+
+
+def _linked(comps: DataFrame, edges: DataFrame) -> DataFrame:
+    """``comps`` after ``edges`` (a, b) between its components, or sets that are in none of them, have joined these."""
+    step = components(edges)
+    told = comps.join(step.select(F.col("node").alias("comp"), F.col("comp").alias("to")), "comp", "left")
+    told = told.select("node", F.coalesce("to", "comp").alias("comp"))
+    return stored(told.unionByName(step.join(comps.select("node"), "node", "left_anti")), "components")
 
 
 def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
@@ -392,36 +406,37 @@ def _sets_and_components(docs: DataFrame, n: int, percent: int) -> tuple[DataFra
     pairs = stored(within.select("a", "b"), "pairs")
     wanted = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).union(heavy.select("set_id")).distinct()
     held = _tokens_of(docs, sets, wanted, n)
-    links = _verify(held, pairs, percent)
-    comps = components(links)
-    apart = heavy
+    comps = components(_verify(held, pairs, percent))
+    apart = _by_set(heavy)
     for turn in range(STARS + 1):
+        # what is known of a set is joined to its one row, not to a row for each of its buckets
         known = comps.select(F.col("node").alias("set_id"), "comp")
-        placed = apart.drop("comp").join(known, "set_id", "left").withColumn("comp", F.coalesce("comp", "set_id"))
+        placed = apart.select("set_id", "n", "sigs").join(known, "set_id", "left")
+        placed = placed.select(F.explode("sigs").alias("sig"), "set_id", "n", F.coalesce("comp", "set_id").alias("comp"))
         mixed = placed.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
-        apart = stored(placed.join(mixed.select("sig"), "sig", "left_semi"), "apart")
+        apart = _by_set(placed.join(mixed.select("sig"), "sig", "left_semi"), "comp")
+        apart = stored(apart.join(held.drop("tokens"), "set_id"), "apart")
         if apart.isEmpty():
             break
+        members = apart.select(F.explode("sigs").alias("sig"), "set_id", "n", "comp", *MAPS)
         fit = _sizes_fit(percent) & _maps_fit(percent)
         more = [F.col("comp"), *map(F.col, MAPS)]
         if turn < STARS:
-            members = apart.join(held.drop("tokens"), "set_id")
             whole = F.struct(F.xxhash64("set_id", F.lit(turn)).alias("h"), "set_id", "n", "comp", *MAPS)
             ends = members.groupBy("sig").agg(F.min(whole).alias("low"), F.max(whole).alias("high"))
             ends = ends.select("sig", F.explode(F.array("low", "high")).alias("e")).select("sig", "e.*")
             fit = (F.col("a_comp") != F.col("b_comp")) & fit
         else:
-            members = ends = _with_places(_merged(apart)).join(held.drop("tokens"), "set_id")
+            members = ends = _with_places(_merged(members.drop(*MAPS))).join(held.drop("tokens"), "set_id")
             more.append(F.col("places"))
             fit = (F.col("a_comp") < F.col("b_comp")) & fit & _met_first()
         met = _side(members, "a", *more).join(_side(ends, "b", *more), "sig").where(fit)
-        met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        fresh = stored(met.join(pairs, ["a", "b"], "left_anti"), "pairs")
-        pairs = pairs.union(fresh)
+        met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "a_comp", "b_comp")
+        fresh = stored(met.dropDuplicates(["a", "b"]).join(pairs, ["a", "b"], "left_anti"), "pairs")
+        pairs = pairs.union(fresh.select("a", "b"))
         found = _verify(held, fresh, percent)
         if not found.isEmpty():
-            links = links.union(found)
-            comps = components(links)
+            comps = _linked(comps, found.select(F.col("a_comp").alias("a"), F.col("b_comp").alias("b")))
     return sets, comps
 
 
