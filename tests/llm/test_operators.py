@@ -598,6 +598,26 @@ def test_model_is_a_distribution_and_base_is_exact(spark, docs, rows, none, monk
     assert np.allclose(model.probabilities(np.random.default_rng(1).integers(0, maxent.BUCKETS, (4, 50))).sum(1), 1)
 
 
+def test_every_round_learns_from_all_documents(docs, rows):
+    held = np.arange(1.0, maxent.CLASSES + 1)
+    share = (held + 1) / (held.sum() + maxent.CLASSES)
+    data = pa.RecordBatch.from_pylist([{"text": t} for _, t in rows], schema=pa.schema([("text", pa.string())]))
+    weight = np.zeros((maxent.BUCKETS, maxent.CLASSES))
+    for _ in range(2):
+        g, n = np.zeros_like(weight), np.zeros(maxent.BUCKETS)
+        for _, found, text, _ in wordhash.texts([data]):
+            t = maxent.tokens(found, text)
+            for *buckets, kind in zip(*maxent.features(t), t.kind):
+                z = np.exp(np.log(share) + sum(weight[b] for b in buckets))
+                miss = (np.arange(maxent.CLASSES) == kind) - z / z.sum()
+                for b in buckets:
+                    g[b] += miss
+                    n[b] += 1
+        weight = np.clip(weight + g / (4 * n[:, None] * share * (1 - share) + 1), -4, 4)
+    got = maxent.train(docs.select("doc_id", "text"), held, rounds=2)
+    assert np.allclose(got.weight, weight, atol=1e-3)
+
+
 def test_history_helps_on_held_out_text(spark):
     importable(spark)
     got = maxent.score(spark.read.parquet("/root/testdata/sf0.1/documents.parquet")).where("held_out")
