@@ -1,13 +1,16 @@
 """What the plans must look like for the work to stay spread over the cluster."""
 
+import json
 import re
 
 import pytest
+from pyspark.sql.types import StructType
 
 import __spark_entry__ as entry
 from visitmart.operators import cohort as C
 from visitmart.operators.gold import assemble
 from visitmart.operators.retrieval import term_counts, tokenize
+from visitmart.plans import training_queries
 from visitmart.plans import visits as V
 from visitmart.sources import files
 
@@ -43,6 +46,43 @@ def test_dedup_ranks_before_the_shuffle(spark, sf):
     assert plan.index("Final") < plan.index("Exchange hashpartitioning(record_hash") < plan.index("Partial")
 
 
+def test_numbers_are_typed_before_the_shuffle(spark, sf):
+    def windows(node):
+        found = [node] if node.nodeName() == "Window" else []
+        return found + [w for i in range(node.children().size()) for w in windows(node.children().apply(i))]
+
+    (window,) = windows(V.silver_latest(spark, sf)._jdf.queryExecution().sparkPlan())
+    sent = StructType.fromJson(json.loads(window.children().apply(0).schema().json()))
+    for name in ("patientunitstayid", "hospitaldischargeoffset", "admissionweight", "LACE_Score"):
+        assert sent[name].dataType.typeName() in ("long", "double")
+
+
+def test_assembly_of_stored_rows_reads_them(spark, sf):
+    plan = physical(entry.queries()["assemble_silver"](spark, sf))
+    assert "Window" not in plan and "lineitem" not in plan
+
+
+def test_chunks_read_stored_visits(spark, sf):
+    assert "lineitem" not in physical(entry.queries()["evidence_chunks"](spark, sf))
+
+
+def test_visits_to_train_on_are_stored_as_parquet(spark, sf, monkeypatch):
+    monkeypatch.setattr(type(spark.range(1)), "checkpoint", None)
+    rows = training_queries._rows(spark, sf)
+    assert rows.inputFiles() and all(name.endswith(".zstd.parquet") for name in rows.inputFiles())
+    assert rows.count() == V.silver_latest(spark, sf).count()
+
+
+def test_wide_silver_is_spooled_and_not_cached(spark, sf, tmp_path, monkeypatch):
+    from visitmart.sources import sinks
+
+    monkeypatch.setattr(type(spark.range(1)), "persist", None)
+    wide = V.silver_latest(spark, sf)
+    sinks.write_wide_silver(wide, f"{tmp_path}/silver", "2024-02-01")
+    assert files.read_silver(spark, f"{tmp_path}/silver").count() == wide.count()
+    assert not list((tmp_path / "silver_spool").iterdir())
+
+
 def test_top_rows_are_taken_per_task_first(spark, sf):
     assert "TakeOrderedAndProject" in physical(C.top_risk(V.cohort(spark, sf)))
 
