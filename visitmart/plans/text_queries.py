@@ -15,7 +15,7 @@ from visitmart.plans import oracle as O
 from visitmart.plans import visits as V
 from visitmart.plans.gold_queries import DRIVER_SQL, REASON_SQL
 from visitmart.plans.registry import SQL, query, rounded
-from visitmart.session import materialise, shared_dir
+from visitmart.session import materialise, shared_dir, stored
 
 STOP = "the of and to in is it that this for with on as by an at be from or are was".split()
 QUESTION = "Where were the worthless onstable things with relation and the condition of thenti"
@@ -168,7 +168,7 @@ _CHUNKS = f"""{O.MODEL}, {REASON_SQL}, {DRIVER_SQL},
 
 
 def _chunks(spark, sf_dir):
-    model = V.model(spark, sf_dir)
+    model = stored(V.model(spark, sf_dir))  # read once for each kind of chunk
     return R.render_chunks(
         spark,
         reason=rounded(final.reason_summary(model), 6),
