@@ -120,6 +120,20 @@ def test_split_and_assemble(spark):
     assert "glucose" not in gold.assemble({"visits_core": tables["visits_core"]}).columns
 
 
+def test_assembly_packs_hashes_and_keeps_other_texts(spark):
+    keys = ["ab" * 32, "AB" * 32, "zz" * 32, "cd" * 31, "é", "", None]
+    core = spark.createDataFrame([(k, str(i)) for i, k in enumerate(keys)] * 2, "record_hash string, age string")
+    part = spark.createDataFrame([(k, str(i), i) for i, k in enumerate(keys)], "record_hash string, age string, los int")
+    tables = {"visits_core": core, "utilization_outcomes": part}
+    out = gold.assemble(tables, ["age"])
+    assert out.columns == ["record_hash", "age", "los"]
+    got = {(k, str(i), None if k is None else i) for i, k in enumerate(keys)}
+    assert len(rows(out)) == len(keys) and set(rows(out)) == got
+    only = spark.createDataFrame([(keys[0],), (keys[4],)], "record_hash string")
+    assert set(rows(gold.assemble(tables, ["age"], only))) == {(keys[0], "0", 0), (keys[4], "4", 4)}
+    assert "lower(hex" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_marts_keep_null_groups(spark):
     silver = to_silver(frame(spark, visit(hospitalid=None), visit(unittype="MICU", patientunitstayid="8")), NOW)
     doctor = gold.doctor_mart(silver)
